@@ -1,0 +1,10 @@
+"""Broadcast only what was counted to be small."""
+
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 1_000_000
+
+
+def small(df, rows=SMALL_ROWS):
+    """The frame with a broadcast hint if it is counted to be small, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
