@@ -11,6 +11,15 @@ def tokens(line):
     return F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0))
 
 
+def with_tokens(df, into="_t", line="line"):
+    """Add the tokens of each line.
+
+    The one-element generator is a fence: without it the optimizer would copy the
+    tokenising into every expression that takes a token.
+    """
+    return df.select("*", F.explode(F.array(tokens(F.col(line)))).alias(into))
+
+
 def number(token, null_marks=()):
     """A double, or null for a null mark, a NaN or anything that is no number.
 

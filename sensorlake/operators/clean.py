@@ -172,8 +172,11 @@ def drop_reason(df, bounds=MOTE_ID_RANGE, has_updated=True):
 
 
 def parse_report(df, reason):
-    """Rows and percent of all rows per drop reason; kept rows count as ``kept``."""
-    counts = df.groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(
+    """Rows and percent of all rows per drop reason; kept rows count as ``kept``.
+
+    ``reason`` builds the reason column from the frame.
+    """
+    counts = df.groupBy(F.coalesce(reason(df), F.lit("kept")).alias("reason")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
     total = F.sum("n_rows").over(W.partitionBy())

@@ -59,10 +59,6 @@ def full_timeline(historical, incremental):
     return historical.unionByName(incremental)
 
 
-def _line_tokens(lines):
-    return lines.withColumn("_t", text.tokens(F.col("line")))
-
-
 def _remapped_time():
     """The remapped time of a line that has one, read without its offset."""
     last = F.when(F.size("_t").isin(4, 9), F.element_at("_t", -1))
@@ -76,7 +72,7 @@ def _with_last_token(new):
 
 def last_remapped_date(lines):
     """The latest remapped date of the lines, or None."""
-    return _line_tokens(lines).agg(F.max(_remapped_time()).cast("date")).first()[0]
+    return text.with_tokens(lines).agg(F.max(_remapped_time()).cast("date")).first()[0]
 
 
 def remap_historical_lines(lines, as_of):
@@ -90,7 +86,7 @@ def remap_historical_lines(lines, as_of):
     days = (as_of.date() - timedelta(days=1) - last).days
     new = times.iso_text(times.shift_days(_remapped_time(), days))
     return (
-        _line_tokens(lines)
+        text.with_tokens(lines)
         .withColumn("_new", new)
         .withColumn("line", _with_last_token(F.col("_new")))
         .withColumn("changed", F.col("_new").isNotNull())
@@ -107,7 +103,7 @@ def date_map(lines, as_of):
     first = F.get("_t", F.lit(0))
     date = F.when(first.rlike(_ISO_DATE), first).try_cast("date")
     dates = (
-        _line_tokens(lines)
+        text.with_tokens(lines)
         .filter(F.size("_t") >= 4)
         .select(date.alias("orig_date"))
         .dropna()
@@ -125,7 +121,7 @@ def remap_incremental_lines(lines, as_of):
     date = F.when(first.rlike(_ISO_DATE), first).try_cast("date")
     new = times.iso_text(times.with_date(_remapped_time(), F.col("new_date")))
     return (
-        _line_tokens(lines)
+        text.with_tokens(lines)
         .withColumn("orig_date", date)
         .join(F.broadcast(date_map(lines, as_of)), "orig_date", "left")
         .withColumn("_new", new)

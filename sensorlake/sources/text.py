@@ -29,10 +29,6 @@ def _token(i):
     return F.get("_t", F.lit(i))
 
 
-def _tokenised(lines):
-    return lines.withColumn("_t", text.tokens(F.col("line")))
-
-
 def _metrics(first, null_marks):
     return [
         text.number(_token(first + i), null_marks).alias(m) for i, m in enumerate(METRICS)
@@ -46,7 +42,7 @@ def parse_readings(lines, keep=()):
     of range; ``updated_text`` is the unparsed remapped time.
     """
     return (
-        _tokenised(lines)
+        text.with_tokens(lines)
         .filter(F.size("_t") > 0)
         .select(
             *keep,
@@ -63,7 +59,7 @@ def parse_readings(lines, keep=()):
 def parse_training(lines, max_rows=0, keep=()):
     """Nine columns for training; lines with more are skipped, 0 rows means all."""
     rows = (
-        _tokenised(lines)
+        text.with_tokens(lines)
         .filter(F.size("_t").between(1, 9))
         .select(
             *keep,
@@ -100,7 +96,7 @@ def parse_ragged(lines, keep=(), extra_tokens=False):
         .when(full & reduce(or_, bad), F.lit("metric"))
     )
     accepted = F.col("reject").isNull()
-    parsed = _tokenised(lines).withColumn("reject", reject).withColumn("_mote", mote)
+    parsed = text.with_tokens(lines).withColumn("reject", reject).withColumn("_mote", mote)
     return parsed.select(
         *keep,
         "reject",
@@ -129,7 +125,7 @@ def ragged_readings(parsed):
 def parse_raw(lines, keep=()):
     """Eight raw columns with ``original_ts``; longer lines and bad times are dropped."""
     return (
-        _tokenised(lines)
+        text.with_tokens(lines)
         .filter(F.size("_t").between(1, 8))
         .select(
             *keep,
@@ -163,7 +159,7 @@ def read_raw(spark, path):
 def parse_locations(lines):
     """Mote id, x and y."""
     return (
-        _tokenised(lines)
+        text.with_tokens(lines)
         .filter(F.size("_t") >= 3)
         .select(
             text.whole_number(_token(0)).try_cast("int").alias("mote_id"),
@@ -234,7 +230,7 @@ def read_dates(spark, path):
         moment = times.recorded_time(F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1)))
         return source.select(moment.cast("date").alias("date")).dropna()
     return (
-        _tokenised(lines)
+        text.with_tokens(lines)
         .select(times.recorded_time(_token(0), _token(1)).cast("date").alias("date"))
         .dropna()
     )

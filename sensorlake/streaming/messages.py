@@ -55,9 +55,9 @@ def send_kafka(messages, brokers, topic=TOPIC):
     messages.write.format("kafka").options(**kafka_sink_options(brokers, topic)).save()
 
 
-def write_files(messages, path):
+def write_files(messages, path, order=("key",)):
     """Messages as JSON text files, one per line, in mote order within each file."""
-    messages.sortWithinPartitions("key").select("value").write.mode("append").text(path)
+    messages.sortWithinPartitions(*order).select("value").write.mode("append").text(path)
 
 
 def read_files(spark, path, files_per_batch=None):
