@@ -9,7 +9,8 @@ from sensorlake.schemas import METRICS, RULE_ALARM, RULES, SEVERITY
 
 
 def clip(value, low=0.0, high=1.0):
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    """The value within bounds; null stays null, which ``least`` alone would skip."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
 def severity(score):
@@ -31,7 +32,7 @@ def rule_score(columns=None):
         F.when(~columns[m].between(low, high), penalty).when(columns[m].isNotNull(), 0.0)
         for m, (low, high, penalty) in RULES.items()
     ]
-    return F.least(F.lit(1.0), reduce(add, penalties, F.lit(0.0)))
+    return clip(reduce(add, penalties, F.lit(0.0)))
 
 
 def rule_alarm(score):

@@ -13,10 +13,16 @@ from sensorlake.schemas import METRICS, MOTE_ID_RANGE, PHYSICS_BOUNDS, VALID_RAN
 
 
 def coerce_metrics(df, columns=METRICS):
-    """Metric text to doubles; what is no number becomes null."""
-    return df.withColumns(
-        {c: text.number(F.col(c).cast("string")) for c in columns if c in df.columns}
-    )
+    """Metrics as doubles; text that is no number and NaN become null."""
+    types = dict(df.dtypes)
+
+    def coerced(c):
+        if types[c] == "string":
+            return text.number(F.col(c))
+        value = F.col(c).cast("double")
+        return F.when(~F.isnan(value), value)
+
+    return df.withColumns({c: coerced(c) for c in columns if c in types})
 
 
 def valid_mote_ids(df, column="mote_id", bounds=MOTE_ID_RANGE):

@@ -39,11 +39,13 @@ def prepare_features(readings, keep=("mote_id",), rows_per_slice=ROWS_PER_SLICE)
     """Six double columns ready for the model, plus the columns to keep.
 
     Rows without any metric and rows with impossible values are dropped; what is
-    still missing becomes the column's median.
+    still missing becomes the column's median, ranked only for columns that need it.
     """
     rows = within_physics(time_features(drop_empty(coerce_metrics(readings))))
     rows = rows.select(*keep, *FEATURES)
-    return rows.fillna(medians(rows, FEATURES, rows_per_slice))
+    holes = rows.agg(*[F.max(F.col(c).isNull()).alias(c) for c in FEATURES]).first()
+    missing = [c for c in FEATURES if holes[c]]
+    return rows.fillna(medians(rows, missing, rows_per_slice)) if missing else rows
 
 
 def scaling(features, columns=FEATURES):

@@ -122,39 +122,42 @@ def grow_forest(samples, columns=FEATURES, seed=SEED, sample=SAMPLE):
 
 
 def _packed(nodes):
-    """Node rows as one array per attribute, trees by nodes, padded with leaves."""
-    trees = max(n["tree"] for n in nodes) + 1
-    width = max(n["node"] for n in nodes) + 1
-    packed = {
-        "feature": np.full((trees, width), -1, dtype=np.int32),
-        "threshold": np.zeros((trees, width)),
-        "left": np.zeros((trees, width), dtype=np.int32),
-        "right": np.zeros((trees, width), dtype=np.int32),
-        "path": np.zeros((trees, width)),
-    }
+    """Per tree the arrays feature, threshold, left child and path length by node.
+
+    The right child follows the left one. A leaf is its own left child behind a
+    threshold nothing exceeds, so that a walk may go on stepping once it is there.
+    """
+    trees = {}
     for n in nodes:
-        at = n["tree"], n["node"]
-        packed["feature"][at] = n["feature"]
-        packed["threshold"][at] = n["threshold"]
-        packed["left"][at], packed["right"][at] = n["left"], n["right"]
-        packed["path"][at] = n["depth"] + float(mean_path(n["size"]))
-    depth = max(n["depth"] for n in nodes)
-    return packed, depth
-
-
-def _path_lengths(packed, depth, values):
-    """Mean path length per row: all trees of the forest step down together."""
-    trees = np.arange(packed["feature"].shape[0])[None, :]
-    at = np.zeros((len(values), trees.shape[1]), dtype=np.int32)
-    rows = np.arange(len(values))[:, None]
-    for _ in range(depth):
-        feature = packed["feature"][trees, at]
-        inner = feature >= 0
-        value = values[rows, np.maximum(feature, 0)]
-        below = value <= packed["threshold"][trees, at]
-        child = np.where(below, packed["left"][trees, at], packed["right"][trees, at])
-        at = np.where(inner, child, at)
-    return packed["path"][trees, at].mean(axis=1)
+        trees.setdefault(n["tree"], []).append(n)
+    packed = []
+    for rows in trees.values():
+        rows.sort(key=lambda n: n["node"])
+        leaf = np.array([n["feature"] < 0 for n in rows])
+        packed.append(
+            (
+                np.where(leaf, 0, [n["feature"] for n in rows]),
+                np.where(leaf, np.inf, [n["threshold"] for n in rows]),
+                np.where(leaf, np.arange(len(rows)), [n["left"] for n in rows]),
+                np.array([n["depth"] for n in rows]) + mean_path([n["size"] for n in rows]),
+            )
+        )
+    return packed, max(n["depth"] for n in nodes)
+
+
+def _path_lengths(packed, depth, columns):
+    """Mean path length per row; each tree takes all rows down one level at a time."""
+    n = len(columns[0])
+    flat, row = np.concatenate(columns), np.arange(n)
+    total = np.zeros(n)
+    for feature, threshold, left, path in packed:
+        start = feature * n
+        at = np.zeros(n, dtype=np.intp)
+        for _ in range(depth):
+            beyond = flat.take(start.take(at) + row) > threshold.take(at)
+            at = left.take(at) + beyond
+        total += path.take(at)
+    return total / len(packed)
 
 
 def isolation_score(forest_nodes, sample, columns):
@@ -164,8 +167,8 @@ def isolation_score(forest_nodes, sample, columns):
 
     @F.pandas_udf("double")
     def score(*features: pd.Series) -> pd.Series:
-        values = np.column_stack([f.to_numpy(dtype=float) for f in features])
-        return pd.Series(2.0 ** (-_path_lengths(packed, depth, values) / scale))
+        columns = [f.to_numpy(dtype=float) for f in features]
+        return pd.Series(2.0 ** (-_path_lengths(packed, depth, columns) / scale))
 
     return score(*[F.col(c) for c in columns])
 

@@ -15,7 +15,7 @@ from sensorlake.schemas import MEASUREMENT, METRICS
 # times are moved.
 FIELDS = {"click": "temperature", "view": "humidity", "purchase": "light", "signup": "voltage"}
 MOVED = timedelta(days=731)
-MOTES = 54
+MOTES = 6
 
 
 def table(spark, sf_dir, name):
@@ -70,6 +70,22 @@ def dense(spark, sf_dir):
     )
 
 
+def complete(spark, sf_dir, motes=MOTES):
+    """One reading per event, mostly with all four metrics, over few motes or all."""
+    e = F.col("event_id")
+    mote = F.col("user_id") if motes is None else F.col("user_id") % motes + 1
+    return table(spark, sf_dir, "events").select(
+        mote.cast("int").alias("mote_id"),
+        e.alias("epoch"),
+        F.col("ts").alias("timestamp"),
+        (F.col("ts") + F.expr(f"interval {MOVED.days} days")).alias("updated_timestamp"),
+        F.when(e % 17 > 0, F.col("value")).alias("temperature"),
+        F.when(e % 19 > 0, (e % 101).cast("double")).alias("humidity"),
+        F.when(e % 23 > 0, (e % 2500).cast("double")).alias("light"),
+        F.when(e % 29 > 0, 2.0 + (e % 15) / 10.0).alias("voltage"),
+    )
+
+
 def locations(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("int").alias("mote_id"),
@@ -94,8 +110,10 @@ def _text(column):
     return column.cast("string")
 
 
-def lines(spark, sf_dir):
-    """Sensor text with every defect the parsers know, one line per event."""
+def lines(spark, sf_dir, motes=None):
+    """Sensor text with every defect the parsers know, one line per event; ``motes``
+    folds the ids to so many."""
+    user = F.col("user_id") if motes is None else F.col("user_id") % motes + 1
     e = F.col("event_id")
 
     def each(n):
@@ -110,7 +128,7 @@ def lines(spark, sf_dir):
     time = F.when(each(73), F.date_format(ts, "HH:mm:ss")).otherwise(
         F.date_format(ts, "HH:mm:ss.SSSSSS")
     )
-    mote = F.when(each(83), bad_mote).otherwise(_text(F.col("user_id")))
+    mote = F.when(each(83), bad_mote).otherwise(_text(user))
     temperature = (
         F.when(each(79), "19.x").when(each(67), "NaN").when(each(61), "?")
         .otherwise(_text(F.col("value")))
@@ -157,7 +175,8 @@ def _sql_sparse(mote):
     FROM events GROUP BY 1, 2, 4"""
 
 
-_SQL_LINES = f"""
+def _sql_lines(user):
+    return f"""
     SELECT event_id,
       CASE WHEN event_id % 89 = 0 THEN concat_ws(' ', d, t, mote, upd)
            WHEN event_id % 97 = 0 THEN concat_ws(' ', d, t, epoch, mote, temp, hum, volt, upd)
@@ -170,7 +189,7 @@ _SQL_LINES = f"""
         CASE WHEN event_id % 73 = 0 THEN strftime(ts, '%H:%M:%S')
              ELSE strftime(ts, '%H:%M:%S.%f') END AS t,
         CAST(event_id AS VARCHAR) AS epoch,
-        CASE WHEN event_id % 83 <> 0 THEN CAST(user_id AS VARCHAR)
+        CASE WHEN event_id % 83 <> 0 THEN CAST({user} AS VARCHAR)
              WHEN (event_id // 83) % 4 = 0 THEN 'abc' WHEN (event_id // 83) % 4 = 1 THEN '65333'
              WHEN (event_id // 83) % 4 = 2 THEN '0' ELSE '7.0' END AS mote,
         CASE WHEN event_id % 79 = 0 THEN '19.x' WHEN event_id % 67 = 0 THEN 'NaN'
@@ -185,6 +204,21 @@ _SQL_LINES = f"""
       FROM (SELECT *, strftime(ts + INTERVAL {MOVED.days} DAY, '%Y-%m-%dT%H:%M:%S.%f') AS moved
             FROM events))"""
 
+
+def _sql_complete(mote):
+    return f"""
+    SELECT CAST({mote} AS INTEGER) AS mote_id, event_id AS epoch,
+      ts AS "timestamp", ts + INTERVAL {MOVED.days} DAY AS updated_timestamp,
+      CASE WHEN event_id % 17 > 0 THEN value END AS temperature,
+      CASE WHEN event_id % 19 > 0 THEN CAST(event_id % 101 AS DOUBLE) END AS humidity,
+      CASE WHEN event_id % 23 > 0 THEN CAST(event_id % 2500 AS DOUBLE) END AS light,
+      CASE WHEN event_id % 29 > 0
+        THEN CAST(2 AS DOUBLE) + (event_id % 15) / CAST(10 AS DOUBLE) END AS voltage
+    FROM events"""
+
+
+SQL_COMPLETE = _sql_complete(f"user_id % {MOTES} + 1")
+
 VIEWS = {
     "points": f"""
     SELECT '{MEASUREMENT}' AS measurement, CAST(user_id AS VARCHAR) AS mote_id,
@@ -197,9 +231,11 @@ VIEWS = {
            l_extendedprice / CAST(40 AS DOUBLE) AS light,
            CAST(2 AS DOUBLE) + CAST(20 AS DOUBLE) * (l_tax + CAST(0 AS DOUBLE)) AS voltage
     FROM lineitem""",
+    "complete": _sql_complete("user_id"),
     "clock": "SELECT max(ts) + INTERVAL 1 MICROSECOND AS as_of FROM events",
     "dense_clock": "SELECT max(l_shipdate) + INTERVAL 1 MICROSECOND AS as_of FROM lineitem",
-    "lines": _SQL_LINES,
+    "lines": _sql_lines("user_id"),
+    "folded_lines": _sql_lines(f"(user_id % {MOTES} + 1)"),
 }
 
 

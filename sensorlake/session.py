@@ -14,6 +14,8 @@ def local_session(cores="8", shuffle_partitions="8", app="sensorlake"):
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
+        # little data over many folders: keep several tasks writing
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.streaming.metricsEnabled", "false")

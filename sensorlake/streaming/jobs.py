@@ -32,13 +32,14 @@ def ingest(stream, sink, checkpoint, trigger=UNTIL_CAUGHT_UP):
 
 def text_messages(lines):
     """Ragged text lines in the shape of parsed messages."""
-    parsed = parse_ragged(lines, keep=("line", "arrival"))
+    kept = [c for c in ("line", "arrival") if c in lines.columns]
+    parsed = parse_ragged(lines, keep=kept)
     event_time = times.iso_time(F.col("updated_text"))
     no_time = F.when(event_time.isNull(), "unreadable time")
     no_metric = F.when(F.coalesce(*METRICS).isNull(), "no metric")
     return parsed.select(
         F.col("line").alias("value"),
-        "arrival",
+        *kept[1:],
         "mote_id",
         F.col("timestamp_text").alias("timestamp"),
         F.col("updated_text").alias("updated_timestamp"),

@@ -9,20 +9,24 @@ from sensorlake.schemas import MESSAGE, METRICS
 TOPIC = "sensor_readings"
 
 
+def message_body():
+    """The JSON value of a reading; nulls are left out."""
+    return F.to_json(
+        F.struct(
+            F.col("mote_id").cast("int").alias("mote_id"),
+            times.message_time_text(F.col("timestamp")).alias("timestamp"),
+            times.message_time_text(F.col("updated_timestamp")).alias("updated_timestamp"),
+            times.iso_text(F.col("timestamp")).alias("original_timestamp"),
+            *[F.col(m).cast("double").alias(m) for m in METRICS],
+            F.col("epoch").cast("bigint").alias("epoch"),
+        )
+    )
+
+
 def to_messages(readings):
-    """Readings as key and JSON value; nulls are left out of the JSON."""
+    """Readings as key and JSON value."""
     return readings.select(
-        F.col("mote_id").cast("string").alias("key"),
-        F.to_json(
-            F.struct(
-                F.col("mote_id").cast("int").alias("mote_id"),
-                times.message_time_text(F.col("timestamp")).alias("timestamp"),
-                times.message_time_text(F.col("updated_timestamp")).alias("updated_timestamp"),
-                times.iso_text(F.col("timestamp")).alias("original_timestamp"),
-                *[F.col(m).cast("double").alias(m) for m in METRICS],
-                F.col("epoch").cast("bigint").alias("epoch"),
-            )
-        ).alias("value"),
+        F.col("mote_id").cast("string").alias("key"), message_body().alias("value")
     )
 
 
@@ -65,7 +69,7 @@ def read_files(spark, path, files_per_batch=None):
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.text(path).withColumn("arrival", F.monotonically_increasing_id())
+    return reader.text(path)
 
 
 _CORRUPT = "_corrupt"
@@ -75,8 +79,8 @@ _PARSED = StructType([*MESSAGE, StructField(_CORRUPT, StringType())])
 def parse(messages):
     """Message values as columns; null values are skipped.
 
-    ``arrival`` orders the rows of one mote within a batch. A broker's offset does,
-    because a mote's messages share a key and so a partition.
+    A column ``arrival`` is kept; it orders the rows of one mote. A broker's offset
+    does, because a mote's messages share a key and so a partition.
 
     ``reject`` says why a row cannot become points: malformed JSON, no mote, no
     metric, no time or an unreadable time. Accepted rows have ``event_time``: the
@@ -84,12 +88,16 @@ def parse(messages):
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     body = F.from_json("value", _PARSED, options)
-    if "arrival" not in messages.columns:
-        messages = messages.withColumn("arrival", F.monotonically_increasing_id())
-    rows = messages.filter(F.col("value").isNotNull()).select("value", "arrival", body.alias("m"))
-    rows = rows.select("value", "arrival", "m.*")
-    metrics = [F.when(~F.isnan(m), F.col(m)).alias(m) for m in METRICS]
-    rows = rows.select(*[c for c in rows.columns if c not in METRICS], *metrics)
+    kept = [c for c in ("value", "arrival") if c in messages.columns]
+    rows = messages.filter(F.col("value").isNotNull()).select(*kept, body.alias("m"))
+    rows = rows.select(*kept, "m.*")
+    whole = F.col(_CORRUPT).isNull()
+    rows = rows.withColumns(
+        {
+            "mote_id": F.when(whole, F.col("mote_id")),
+            **{m: F.when(whole & ~F.isnan(m), F.col(m)) for m in METRICS},
+        }
+    )
     time_text = times.event_time()
     rows = rows.withColumn("event_time", times.iso_time(time_text))
     reject = (
@@ -119,5 +127,5 @@ def to_archive_rows(parsed):
         F.col("event_time").alias("updated_timestamp"),
         *METRICS,
         "mote_id",
-        "arrival",
+        *[c for c in ("arrival",) if c in parsed.columns],
     )

@@ -77,6 +77,7 @@ def archive_new(spark, rows, path):
 class DualSink:
     """Writes each batch to the hot store and then to the archive.
 
+    Without a column ``arrival`` the rows count in the order the source gave them.
     A failing hot write fails the batch, so its offsets are not committed and it is
     replayed. A failing archive write is logged and kept in ``failed_batches``;
     ``repair_archive`` adds what is missing from the hot store later.
@@ -89,6 +90,8 @@ class DualSink:
 
     def __call__(self, parsed, batch):
         spark = parsed.sparkSession
+        if "arrival" not in parsed.columns:
+            parsed = parsed.withColumn("arrival", F.monotonically_increasing_id())
         parsed = parsed.persist()
         try:
             if not self.cold_only:
