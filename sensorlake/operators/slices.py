@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 4_000_000
 BROADCAST_ROWS = 1_000_000
-FAN_OUT = 1 << 20
-LEVELS = 3
+PARTS = 1024
+LEVELS = 4
 
 SLICE = "_slice"
 
@@ -20,52 +20,90 @@ SLICE = "_slice"
 def cut(df, keys, at, rows_per_slice=ROWS_PER_SLICE):
     """Add ``_slice``, which grows with the numeric column ``at`` within each key.
 
-    Returns the frame and whether anything was cut. Every level splits the groups
-    that are still too large into equal widths of their own value range; a burst
-    that lands in one slice is split again on the next level. Rows with equal
-    ``at`` stay together. A level broadcasts only its too-large groups: each has
-    more than ``rows_per_slice`` rows, so there are at most rows / rows_per_slice.
+    Returns the frame and whether anything was cut. A level cuts the groups that are
+    too large at approximate quantiles, so that a burst is cut as well as an even
+    flow, into n / rows_per_slice parts, at most 1024; what is still too large is cut
+    again on the next level. Rows with equal ``at`` stay together. The cut points of a
+    level are broadcast: there are at most rows / rows_per_slice of them.
     """
     keys = list(keys)
     sliced = df.withColumn(SLICE, F.lit(0).cast("bigint"))
     was_cut = False
     for _ in range(LEVELS):
-        large = (
-            sliced.groupBy(*keys, SLICE)
-            .agg(F.count(at).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-            .filter((F.col("_n") > rows_per_slice) & (F.col("_hi") > F.col("_lo")))
-            .toDF(*[f"_k{i}" for i in range(len(keys))], "_ks", "_n", "_lo", "_hi")
-            .persist()
-        )
+        large = _too_large(sliced, keys, at, rows_per_slice).persist()
         found = large.limit(BROADCAST_ROWS + 1).count()
         if not found:
             large.unpersist()
             break
         was_cut = True
-        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        side = F.broadcast(large) if found <= BROADCAST_ROWS else large
-        parts = F.least(F.ceil(F.col("_n") / rows_per_slice), F.lit(FAN_OUT))
-        width = F.col("_hi").cast("double") - F.col("_lo").cast("double")
-        part = F.floor((F.col(at).cast("double") - F.col("_lo").cast("double")) / width * parts)
-        part = F.coalesce(F.least(part, parts - 1), F.lit(0)).cast("bigint")
-        sliced = sliced.join(side, [*same, F.col(SLICE) == F.col("_ks")], "left").select(
-            *df.columns, (F.col(SLICE) * FAN_OUT + part).alias(SLICE)
+        large = F.broadcast(large) if found <= BROADCAST_ROWS else large
+        points = _cut_points(sliced.join(large, _same(keys)), keys, at).persist()
+        points = F.broadcast(points) if found <= BROADCAST_ROWS else points
+        sliced = sliced.join(points, _same(keys), "left").select(
+            *df.columns, (F.col(SLICE) * (2 * PARTS) + _part(at)).alias(SLICE)
         )
     return sliced, was_cut
 
 
+def _same(keys):
+    """A group of the frame is a row of a table with the columns _k0, _k1, ..., _ks."""
+    pairs = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return [*pairs, F.col(SLICE) == F.col("_ks")]
+
+
+def _renamed(table, keys):
+    names = {**{k: f"_k{i}" for i, k in enumerate(keys)}, SLICE: "_ks"}
+    return table.withColumnsRenamed(names)
+
+
+def _too_large(sliced, keys, at, rows_per_slice):
+    groups = sliced.groupBy(*keys, SLICE).agg(
+        F.count(at).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
+    )
+    large = groups.filter((F.col("_n") > rows_per_slice) & (F.col("_hi") > F.col("_lo")))
+    parts = F.least(F.ceil(F.col("_n") / rows_per_slice), F.lit(PARTS)).cast("int")
+    return _renamed(large.select(*keys, SLICE, parts.alias("_parts")), keys)
+
+
+def _cut_points(rows, keys, at):
+    """Per group its parts - 1 cut points."""
+    shares = F.expr("array(" + ", ".join(f"{i / PARTS}D" for i in range(1, PARTS)) + ")")
+    groups = rows.groupBy(*keys, SLICE).agg(
+        F.max("_parts").alias("_parts"), F.percentile_approx(at, shares, 10 * PARTS).alias("_all")
+    )
+    chosen = F.transform(
+        F.sequence(F.lit(1), F.col("_parts") - 1),
+        lambda i: F.element_at("_all", F.floor(i * PARTS / F.col("_parts")).cast("int")),
+    )
+    return _renamed(groups.select(*keys, SLICE, chosen.alias("_cuts")), keys)
+
+
+def _part(at):
+    """Cut points below the row's value plus cut points up to it, by halving steps.
+
+    Counting both gives a value that is itself a cut point a part of its own, so that
+    a value of many rows does not keep its neighbours in a large slice.
+    """
+    steps = F.array(*[F.lit(PARTS >> i) for i in range(1, PARTS.bit_length())])
+    size = F.coalesce(F.size("_cuts"), F.lit(0))
+
+    def count(within):
+        def further(passed, step):
+            inside = (passed + step <= size) & within(F.get("_cuts", passed + step - 1))
+            return F.when(inside, passed + step).otherwise(passed)
+
+        return F.aggregate(steps, F.lit(0), further)
+
+    return count(lambda c: c < F.col(at)) + count(lambda c: c <= F.col(at))
+
+
 def _columns(order):
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
 def _with_slice_table(sliced, table, keys):
     """Join the one-row-per-slice table; both sides are grouped by key and slice."""
-    renamed = table
-    for i, k in enumerate(keys):
-        renamed = renamed.withColumnRenamed(k, f"_k{i}")
-    renamed = renamed.withColumnRenamed(SLICE, "_ks")
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return sliced.join(renamed, [*same, F.col(SLICE) == F.col("_ks")], "left")
+    return sliced.join(_renamed(table, keys), _same(keys), "left")
 
 
 def _result(frame, source, into, value):
