@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 _RECORDED = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}$"
 _ZONE = r"(?:Z|[+-]\d\d:?\d\d)$"
-_ISO = r"^(\d{4}-\d\d-\d\d)([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d:?\d\d)?)?$"
+_ISO = r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?)?$"
+_ISO_ZONED = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d:?\d\d)$"
 
 _UNITS = {
     "us": timedelta(microseconds=1),
@@ -74,24 +75,25 @@ def recorded_time(date, time):
 
 def iso_time(text):
     """ISO text as UTC wall time; an offset is converted, a missing zone means UTC."""
-    plain = F.when(text.rlike(_ISO), F.regexp_replace(text, _ZONE_AFTER_TIME, "$1"))
-    zone = F.regexp_extract(text, r"\d\d:\d\d.*?([+-]\d\d:?\d\d)$", 1)
+    wall = F.regexp_replace(text, _ZONE, "").try_cast("timestamp_ntz")
+    zone = F.regexp_extract(text, _ZONE, 0)
     sign = F.when(zone.startswith("-"), -1).otherwise(1)
     digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = sign * (
-        F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 60
-        + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
+    hours, minutes = (
+        F.coalesce(F.substring(digits, start, 2).try_cast("int"), F.lit(0)) for start in (1, 3)
+    )
+    shifted = wall - F.make_dt_interval(mins=sign * (hours * 60 + minutes))
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).when(
+        text.rlike(_ISO_ZONED), shifted
     )
-    return plain.try_cast("timestamp_ntz") - F.make_dt_interval(mins=minutes)
-
-
-_ZONE_AFTER_TIME = r"(\d\d:\d\d.*?)" + _ZONE
 
 
 def iso_time_unshifted(text):
     """ISO text with ``Z`` or a ``+`` offset cut off, not converted."""
     plain = F.split(F.regexp_replace(text, "Z$", ""), r"\+")[0]
-    return F.when(plain.rlike(_ISO), plain).try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).when(
+        text.rlike(_ISO_ZONED), plain.try_cast("timestamp_ntz")
+    )
 
 
 def iso_text(moment):

@@ -10,6 +10,7 @@ from sensorlake.functions import text, times
 from sensorlake.operators.sizes import small
 from sensorlake.operators.slices import ROWS_PER_SLICE, forward_fill
 from sensorlake.schemas import METRICS, MOTE_ID_RANGE, PHYSICS_BOUNDS, VALID_RANGES
+from sensorlake.session import written
 
 
 def coerce_metrics(df, columns=METRICS):
@@ -143,11 +144,13 @@ def clean_readings(
     """All guards and imputations in order: ids, times, day, climate, light, voltage.
 
     ``as_of`` keeps only rows remapped to that day; leave it out to keep every day.
+    Guarded rows are written once, because the imputation reads them several times
+    and text is slow to parse.
     """
-    rows = valid_mote_ids(parsed)
-    timed = rows.filter(F.col("timestamp").isNotNull())
+    guarded = valid_mote_ids(parsed).filter(F.col("timestamp").isNotNull())
+    rows = written(guarded, "guarded")
     if has_updated is None:
-        has_updated = has_any(timed, "updated_text")
+        has_updated = has_any(rows, "updated_text")
     rows = valid_times(rows, has_updated)
     if as_of is not None and has_updated:
         rows = on_day(rows, as_of)

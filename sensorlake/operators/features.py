@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import times
 from sensorlake.operators.clean import coerce_metrics, drop_empty, within_physics
-from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles
-from sensorlake.schemas import FEATURES, METRICS
+from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles, positions
+from sensorlake.schemas import FEATURES
+
+HASHES = 1 << 52
 
 
 def time_features(df):
@@ -65,10 +67,20 @@ def scaled(features, scale):
     )
 
 
-def seeded_sample(df, n, key, seed=42):
+def seeded_sample(df, n, key, seed=42, rows_per_slice=ROWS_PER_SLICE):
     """n rows without replacement, the same ones for any partitioning.
 
-    Rows are ordered by a hash of their key, so the sample is a top-n: map tasks
-    keep n rows each. The key should be unique, as equal keys are drawn together.
+    The rows with the n smallest hashes of their key are drawn. A bound on the hash
+    leaves little more than n candidates, which are then numbered in hash order; if
+    the bound should ever leave too few, all rows are numbered. The key should be
+    unique, as equal keys follow each other.
     """
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    hashed = df.withColumn("_draw", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(HASHES)))
+    total = df.count()
+    share = min(1.0, (n + 6 * n**0.5 + 100) / max(total, 1))
+    candidates = hashed.filter(F.col("_draw") < int(share * HASHES))
+    if share < 1.0 and candidates.count() < n:
+        candidates = hashed
+    order = ["_draw", *key]
+    numbered = positions(candidates, [], "_draw", order, "_position", rows_per_slice)
+    return numbered.filter(F.col("_position") < n).select(*df.columns)

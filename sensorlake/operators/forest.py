@@ -17,7 +17,7 @@ from sensorlake.functions.scores import model_score, severity
 from sensorlake.operators.features import scaled, scaling
 from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles
 from sensorlake.schemas import FEATURES
-from sensorlake.session import scratch_path
+from sensorlake.session import written
 
 N_TREES = 100
 SAMPLE = 256
@@ -201,10 +201,8 @@ def fit_scored(
     nodes = tuple(
         sorted(grow_forest(samples, columns, seed, size).collect(), key=lambda n: (n[0], n[1]))
     )
-    spark = features.sparkSession
-    path = scratch_path(spark, "scores")
-    rows.select((-isolation_score(nodes, size, columns)).alias("score")).write.parquet(path)
-    scores = spark.read.schema("score double").parquet(path)
+    score = -isolation_score(nodes, size, columns)
+    scores = written(rows.select(score.alias("score")), "scores")
     quantile = exact_quantiles(scores, [], "score", [contamination], rows_per_slice).first()
     offset = quantile["quantiles"][0]
     forest = Forest(nodes, scale, offset, size, tuple(columns))

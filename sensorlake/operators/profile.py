@@ -7,6 +7,8 @@ from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles, positio
 from sensorlake.operators.timeseries import of_top_motes
 from sensorlake.schemas import METRICS, VALID_RANGES
 
+TOP_ROWS = 10_000
+
 
 def long_metrics(readings, keys=()):
     """One row per reading and metric, nulls included."""
@@ -170,9 +172,18 @@ def today_overview(readings, as_of, time="updated_timestamp"):
     )
 
 
-def earliest_rows(readings, n, order=("timestamp",)):
-    """The first n rows in time order."""
-    return readings.orderBy(*order).limit(n)
+def earliest_rows(readings, n, time="timestamp", ties=(), rows_per_slice=ROWS_PER_SLICE):
+    """The first n rows in time order.
+
+    A short list is a top-n; a long one would gather n rows of every task in one, so
+    there rows are numbered slice by slice instead.
+    """
+    order = [time, *ties]
+    if n <= TOP_ROWS:
+        return readings.orderBy(*order).limit(n)
+    timed = readings.withColumn("_at", times.micros(F.col(time)))
+    numbered = positions(timed, [], "_at", order, "_position", rows_per_slice)
+    return numbered.filter(F.col("_position") < n).select(*readings.columns)
 
 
 def display_rows(readings, n=200, order=("timestamp", "mote_id")):

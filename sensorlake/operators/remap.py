@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions import text, times
 from sensorlake.operators.sizes import small
 from sensorlake.operators.slices import ROWS_PER_SLICE, positions, previous_time
+from sensorlake.sources.text import numbered_lines
 
 _MICRO = timedelta(microseconds=1)
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -180,32 +181,6 @@ def _check_ratio(ratio):
         raise ValueError("ratio must lie between 0 and 1")
 
 
-def numbered_lines(spark, path):
-    """Lines with their position over all files, files taken in name order.
-
-    Lines of one file block are read in order by one task, so a line's position is
-    the number of lines in the blocks before plus its place in its own block. The
-    blocks are a small table: one row per file split.
-    """
-    block = ["_file", "_block"]
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    sizes = lines.groupBy(*block).agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
-    before = W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        *block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    return lines.join(starts, block).select(
-        "line", (F.col("_start") + F.col("_id") - F.col("_first")).alias("position")
-    )
-
-
 def split_lines(spark, path, ratio=0.8):
     """The first share of the lines of a file, and the rest, with positions."""
     _check_ratio(ratio)

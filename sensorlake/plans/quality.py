@@ -101,13 +101,13 @@ def display_rows(spark, sf_dir):
     "l6_earliest_rows",
     sql(
         f"""SELECT {_ALL} FROM dense
-            ORDER BY "timestamp", mote_id, temperature, humidity, voltage LIMIT 1000""",
+            ORDER BY "timestamp", mote_id, temperature, humidity, voltage LIMIT 12000""",
         "dense",
     ),
 )
 def earliest_rows(spark, sf_dir):
-    order = ("timestamp", "mote_id", "temperature", "humidity", "voltage")
-    return profile.earliest_rows(tables.dense(spark, sf_dir), 1000, order)
+    ties = ("mote_id", "temperature", "humidity", "voltage")
+    return profile.earliest_rows(tables.dense(spark, sf_dir), 12_000, "timestamp", ties)
 
 
 @query(

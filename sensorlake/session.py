@@ -44,3 +44,14 @@ def shared_folder(spark):
 def scratch_path(spark, name):
     """A new path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name="table"):
+    """The frame as a Parquet table in the shared folder.
+
+    Work that is read more than once is done once, the lineage ends there, and the
+    rows outlive a lost executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sensorlake.functions import times
 from sensorlake.schemas import DAILY_ARCHIVE, METRICS, MOTE_ARCHIVE, PARTITIONS, READING
-from sensorlake.session import scratch_path
+from sensorlake.session import scratch_path, written
 
 MOTE_PARTITIONS = (*PARTITIONS, "mote_id")
 MOTE_FOLDER = r"(year=\d+/month=\d+/day=\d+/mote_id=\d+)/[^/]+\.parquet$"
@@ -184,13 +184,6 @@ def compaction_plan(files, min_files=2, only=None, limit=0):
     return plan.orderBy("folder").limit(limit) if limit else plan
 
 
-def _written(spark, df):
-    """The frame as a table in the shared folder, so that later steps see one state."""
-    path = scratch_path(spark, "table")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _folder_columns():
     return F.concat(
         *[
@@ -224,7 +217,9 @@ def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_or
     second run finds nothing to do, and the staged rows outlive a failed swap.
     ``keep_originals`` stops after staging.
     """
-    plan = _written(spark, compaction_plan(inventory(spark, path), min_files, only, limit))
+    plan = written(
+        compaction_plan(inventory(spark, path), min_files, only, limit), "compaction-plan"
+    )
     rows = _rows_of(spark, path, plan)
     if dry_run:
         counted = rows.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -244,8 +239,7 @@ def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_or
     read = staged.groupBy("folder").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_file").alias("n_read")
     )
-    report = _written(
-        spark,
+    report = written(
         plan.join(read, "folder", "left").select(
             "folder",
             "n_files",
@@ -255,6 +249,7 @@ def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_or
             .otherwise("ok")
             .alias("status"),
         ),
+        "compaction-report",
     )
     if not keep_originals:
         whole = staged.join(report.filter("status = 'ok'").select("folder"), "folder", "left_semi")

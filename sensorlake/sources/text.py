@@ -8,6 +8,7 @@ they serve files, streams and derived lines alike.
 from functools import reduce
 from operator import or_
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions import text, times
@@ -25,6 +26,32 @@ def read_lines(spark, path):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def numbered_lines(spark, path):
+    """Lines with their position over all files, files taken in name order.
+
+    Lines of one file block are read in order by one task, so a line's position is
+    the number of lines in the blocks before plus its place in its own block. The
+    blocks are a small table: one row per file split.
+    """
+    block = ["_file", "_block"]
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    sizes = lines.groupBy(*block).agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    before = W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(
+        *block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    return lines.join(starts, block).select(
+        "line", (F.col("_start") + F.col("_id") - F.col("_first")).alias("position")
+    )
+
+
 def _token(i):
     return F.get("_t", F.lit(i))
 
@@ -56,9 +83,9 @@ def parse_readings(lines, keep=()):
     )
 
 
-def parse_training(lines, max_rows=0, keep=()):
-    """Nine columns for training; lines with more are skipped, 0 rows means all."""
-    rows = (
+def parse_training(lines, keep=()):
+    """Nine columns for training; lines with more are skipped."""
+    return (
         text.with_tokens(lines)
         .filter(F.size("_t").between(1, 9))
         .select(
@@ -70,7 +97,6 @@ def parse_training(lines, max_rows=0, keep=()):
             *_metrics(4, TRAINING_NULLS),
         )
     )
-    return rows.limit(max_rows) if max_rows else rows
 
 
 def parse_ragged(lines, keep=(), extra_tokens=False):
@@ -145,7 +171,10 @@ def read_readings(spark, path):
 
 
 def read_training(spark, path, max_rows=0):
-    return parse_training(read_lines(spark, path), max_rows)
+    """The first ``max_rows`` lines in file order; 0 means all."""
+    if not max_rows:
+        return parse_training(read_lines(spark, path))
+    return parse_training(numbered_lines(spark, path).filter(F.col("position") < max_rows))
 
 
 def read_ragged(spark, path, extra_tokens=False):

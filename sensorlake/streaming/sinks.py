@@ -21,9 +21,10 @@ HOT_SCHEMA = StructType([*POINT]).add("batch", "long").add("date", "date")
 
 def write_hot(points, path, batch):
     """Points of one batch by date; a replayed batch replaces its own files."""
-    points.withColumn("date", F.col("_time").cast("date")).write.mode("overwrite").partitionBy(
-        "date"
-    ).parquet(f"{path}/batch={batch}")
+    dated = points.withColumn("date", F.col("_time").cast("date"))
+    dated.hint("rebalance", F.col("date")).write.mode("overwrite").partitionBy("date").parquet(
+        f"{path}/batch={batch}"
+    )
 
 
 def read_hot(spark, path):
@@ -36,6 +37,12 @@ def hot_view(spark, path):
     return last_per_point(read_hot(spark, path), "batch")
 
 
+def fold_hot(spark, path, into):
+    """Copy the view of a hot store of many batches into one with a single batch."""
+    last = read_hot(spark, path).agg(F.max("batch")).first()[0]
+    write_hot(hot_view(spark, path), into, last)
+
+
 def write_rejects(rows, path, batch):
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 

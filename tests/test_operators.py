@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions import times
 from sensorlake.operators import clean, joins, profile, remap, timeseries
 from sensorlake.schemas import METRICS
+from sensorlake.sources import text
 
 AS_OF = datetime(2026, 2, 10, 12, 0)
 
@@ -120,9 +121,9 @@ def test_remap_historical_lines(spark):
 
 
 def test_remap_incremental_lines(spark):
-    text = "{} 00:58:15.3 1 2020-01-10T19:03:19"
+    line = "{} 00:58:15.3 1 2020-01-10T19:03:19"
     days = ("2004-03-09", "2004-02-28", "2004-03-01", "2004-02-28")
-    got = remap.remap_incremental_lines(lines(spark, *map(text.format, days)), AS_OF).orderBy("i")
+    got = remap.remap_incremental_lines(lines(spark, *map(line.format, days)), AS_OF).orderBy("i")
     last = [r["line"].split()[-1][:16] for r in got.collect()]
     assert last == [f"2026-02-{d}T19:03" for d in (12, 10, 11, 10)]
 
@@ -165,7 +166,7 @@ def test_line_positions_over_files(spark, tmp_path):
         (tmp_path / name).write_text(body)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        got = remap.numbered_lines(spark, str(tmp_path))
+        got = text.numbered_lines(spark, str(tmp_path))
         assert got.filter("cast(line as long) <> position").count() == 0
         historical, rest = remap.split_lines(spark, str(tmp_path))
         assert (historical.count(), rest.count()) == (3200, 800)
@@ -186,8 +187,6 @@ def test_replay(spark):
 
 
 def test_clean_readings(spark):
-    from sensorlake.sources import text
-
     line = "2004-03-01 10:0{}:00.0 {} {} 20.0 {} ? {} 2026-02-10T1{}:00:00"
     df = spark.createDataFrame(
         [

@@ -208,7 +208,14 @@ def test_features(spark):
 
 def test_seeded_sample(spark):
     df = spark.range(1000)
-    a = features.seeded_sample(df, 50, ["id"]).collect()
-    b = features.seeded_sample(df.repartition(5), 50, ["id"]).collect()
-    c = features.seeded_sample(df, 50, ["id"], seed=7).collect()
-    assert a == b and len(a) == 50 and a != c
+
+    def drawn(frame, n=50, **options):
+        return sorted(r["id"] for r in features.seeded_sample(frame, n, ["id"], **options).collect())
+
+    first = drawn(df)
+    assert len(first) == len(set(first)) == 50
+    assert first == drawn(df.repartition(5)) == drawn(df, rows_per_slice=9)
+    assert first != drawn(df, seed=7)
+    assert drawn(df, 2000) == list(range(1000))
+    large = drawn(spark.range(20_000), 500)
+    assert len(large) == 500 and 8000 < sum(large) / 500 < 12_000

@@ -92,6 +92,11 @@ def test_restart_continues(run):
     run()
     assert run.values() == [("1", 0, 50.0), ("1", 1, 21.0)]
     assert run.archived() == [(1, 0, 20.0), (1, 1, 21.0)]
+    folded = run.hot + "-folded"
+    sinks.fold_hot(run.spark, run.hot, folded)
+    run.hot = folded
+    assert run.values() == [("1", 0, 50.0), ("1", 1, 21.0)]
+    assert sinks.read_hot(run.spark, folded).select("batch").distinct().count() == 1
 
 
 def test_late_rows_are_stored(run):

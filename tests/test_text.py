@@ -122,10 +122,12 @@ def test_iso_offsets(spark):
     assert rows[1][1] == datetime(2026, 1, 17, 1, 59, 16, 500000)
 
 
-def test_training_cap(spark):
-    lines = frame(spark, FULL, FULL, FULL)
-    assert text.parse_training(lines).count() == 3
-    assert text.parse_training(lines, 2).count() == 2
+def test_training_cap(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text("\n".join(FULL.replace(" 3 1 ", f" {i} 1 ") for i in range(5)) + "\n")
+    assert text.read_training(spark, str(path)).count() == 5
+    capped = text.read_training(spark, str(path), 2).collect()
+    assert sorted(r["epoch"] for r in capped) == [0, 1]
 
 
 def test_locations(spark, tmp_path):
