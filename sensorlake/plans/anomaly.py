@@ -329,8 +329,8 @@ def model_registry(spark, sf_dir):
     """Two versions are trained, saved and listed; the later one is the latest."""
     base = scratch_path(spark, "models")
     rows = tables.dense(spark, sf_dir)
-    models.train(spark, base, rows, _WHEN, n_trees=20)
-    models.train(spark, base, rows, _WHEN + timedelta(days=1), tag="manual", n_trees=20)
+    models.train(spark, base, rows, _WHEN)
+    models.train(spark, base, rows, _WHEN + timedelta(days=1), tag="manual")
     listed = models.registry(spark, base)
     newest = models.latest_entry(listed).select("version").scalar()
     return listed.select("version", "n_samples", (F.col("version") == newest).alias("latest"))
@@ -347,7 +347,7 @@ def model_registry(spark, sf_dir):
 def model_scan(spark, sf_dir):
     """The newest readings scored by the saved model; here without the random scores."""
     base = scratch_path(spark, "models")
-    models.train(spark, base, tables.complete(spark, sf_dir), _WHEN, n_trees=20)
+    models.train(spark, base, tables.complete(spark, sf_dir), _WHEN)
     rows = _latest(spark, sf_dir).withColumn("timestamp", F.col("_time"))
     scanned = scan.scan(rows, models.load_latest(spark, base))
     complete = F.col("unscored").isNotNull() | F.col("anomaly_score").between(0, 1)
@@ -357,7 +357,7 @@ def model_scan(spark, sf_dir):
 @query("m8_model_scores")
 def model_scores(spark, sf_dir):
     base = scratch_path(spark, "models")
-    models.train(spark, base, tables.complete(spark, sf_dir), _WHEN, n_trees=20)
+    models.train(spark, base, tables.complete(spark, sf_dir), _WHEN)
     rows = _latest(spark, sf_dir).withColumn("timestamp", F.col("_time"))
     return scan.scan(rows, models.load_latest(spark, base))
 
@@ -375,7 +375,7 @@ def retrain(spark, sf_dir):
     archive.write_mote_archive(tables.complete(spark, sf_dir), path)
     rows = archive.read_mote_archive(spark, path)
     clock = tables.moved_clock(spark, sf_dir)
-    models.retrain(spark, base, rows, clock, n_trees=20, key=("mote_id", "epoch"))
+    models.retrain(spark, base, rows, clock, key=("mote_id", "epoch"))
     return models.registry(spark, base).select("n_samples", "tag")
 
 

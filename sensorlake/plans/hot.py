@@ -471,7 +471,7 @@ def distinct_values(spark, sf_dir):
     "d2_points_from_readings",
     sql(
         " UNION ALL ".join(
-            f"SELECT '{m}' AS _field, count({m}) AS n, round(sum({m}), 4) AS total FROM dense"
+            f"SELECT '{m}' AS _field, count({m}) AS n, round(sum({m}) / 7, 4) AS total FROM dense"
             for m in METRICS
         ),
         "dense",
@@ -480,7 +480,7 @@ def distinct_values(spark, sf_dir):
 def points_from_readings(spark, sf_dir):
     points = timeseries.to_points(tables.dense(spark, sf_dir), "timestamp")
     return points.groupBy("_field").agg(
-        F.count("_value").alias("n"), F.round(F.sum("_value"), 4).alias("total")
+        F.count("_value").alias("n"), F.round(F.sum("_value") / 7, 4).alias("total")
     )
 
 

@@ -184,7 +184,7 @@ def replayed_batch(spark, sf_dir):
 )
 def stream_dedup(spark, sf_dir):
     path, checkpoint = scratch_path(spark, "rows"), scratch_path(spark, "checkpoint")
-    rows = jobs.deduplicated(messages.parse(_stream(spark, sf_dir)), "36500 days")
+    rows = jobs.deduplicated(messages.parse(_stream(spark, sf_dir)), "800 days")
     rows = rows.select("mote_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
     schema = rows.schema
     jobs.to_files(rows, path, checkpoint).awaitTermination()
