@@ -367,10 +367,10 @@ def model_scores(spark, sf_dir):
     f"""SELECT count(*) AS n_samples, 'scheduled' AS tag FROM (SELECT * FROM
           ({tables.SQL_COMPLETE}) WHERE CAST(updated_timestamp AS DATE) > (SELECT
             CAST(max(ts) + INTERVAL {tables.MOVED.days} DAY AS DATE) - 3 FROM events))
-        WHERE coalesce({_METRICS}) IS NOT NULL AND {_INSIDE}""",
+        WHERE coalesce({_METRICS}) IS NOT NULL AND {_INSIDE} HAVING count(*) >= 100""",
 )
 def retrain(spark, sf_dir):
-    """The scheduled job over the archive's last three days."""
+    """The scheduled job over the archive's last three days; too few rows train nothing."""
     path, base = scratch_path(spark, "archive"), scratch_path(spark, "models")
     archive.write_mote_archive(tables.complete(spark, sf_dir), path)
     rows = archive.read_mote_archive(spark, path)
