@@ -7,7 +7,6 @@ from sensorlake.operators.timeseries import to_points
 from sensorlake.schemas import METRICS
 from sensorlake.sources.text import parse_ragged
 from sensorlake.streaming import messages
-from sensorlake.streaming.sinks import DualSink
 
 
 def batch_trigger(seconds=1.0):
