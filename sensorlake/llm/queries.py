@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, winnow
+from sensorlake.llm import bpe, warc, winnow
 
 QUERIES = {}
 SQL = {}
@@ -62,3 +62,20 @@ def op8_decontaminate(spark, sf_dir):
     """Words of documents inside passages of the benchmark."""
     found = winnow.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return winnow.digests(found)
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100
+"""
+
+
+@query(OP7_SQL)
+def op7_warc(spark, sf_dir):
+    """Every page as a WARC record, read back from the archives."""
+    found = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
