@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, warc, winnow
+from sensorlake.llm import bpe, token_files, warc, winnow
 
 QUERIES = {}
 SQL = {}
@@ -79,3 +79,10 @@ def op7_warc(spark, sf_dir):
     """Every page as a WARC record, read back from the archives."""
     found = warc.read(warc.write(table(spark, sf_dir, "pages")))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op5_token_files(spark, sf_dir):
+    """Ids of every document in binary files, read back."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents"), path))
