@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, token_files, warc, winnow
+from sensorlake.llm import bpe, quality, token_files, warc, winnow
 
 QUERIES = {}
 SQL = {}
@@ -86,3 +86,9 @@ def op5_token_files(spark, sf_dir):
     """Ids of every document in binary files, read back."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), path))
+
+
+@query()
+def op4_quality(spark, sf_dir):
+    """Counts of every document and the verdict of the learned rules."""
+    return quality.verdicts(table(spark, sf_dir, "documents")).drop("posterior", "votes")
