@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, quality, token_files, warc, winnow
+from sensorlake.llm import bpe, jaccard, quality, token_files, warc, winnow
 
 QUERIES = {}
 SQL = {}
@@ -92,3 +92,31 @@ def op5_token_files(spark, sf_dir):
 def op4_quality(spark, sf_dir):
     """Counts of every document and the verdict of the learned rules."""
     return quality.verdicts(table(spark, sf_dir, "documents")).drop("posterior", "votes")
+
+
+OP6_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
+c AS (SELECT array_to_string(w, ' ') AS t, any_value(w) AS w, count(*) AS n, min(doc_id) AS rep
+      FROM d WHERE len(w) > 0 GROUP BY 1),
+s AS (SELECT DISTINCT rep, n, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM c)),
+z AS (SELECT rep, count(*) AS size FROM s GROUP BY 1),
+p AS (SELECT a.rep AS a, b.rep AS b, b.n AS n, count(*) AS shared
+      FROM s a JOIN s b ON a.g = b.g AND a.rep <> b.rep GROUP BY ALL),
+l AS (SELECT a, b, n FROM p JOIN z x ON x.rep = a JOIN z y ON y.rep = b
+      WHERE 5 * shared >= 4 * (x.size + y.size - shared)),
+r AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+m AS (SELECT a, min(b) AS class_id FROM r GROUP BY 1),
+k AS (SELECT a, sum(n) AS n FROM l GROUP BY 1)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id,
+  CAST(coalesce(c.n - 1 + coalesce(k.n, 0), 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN c ON array_to_string(d.w, ' ') = c.t
+LEFT JOIN m ON m.a = c.rep LEFT JOIN k ON k.a = c.rep
+"""
+
+
+@query(OP6_SQL)
+def op6_jaccard_join(spark, sf_dir):
+    """Class and number of links of every document."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
