@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, jaccard, quality, token_files, warc, winnow
+from sensorlake.llm import bpe, jaccard, quality, secret_scan, token_files, warc, winnow
 
 QUERIES = {}
 SQL = {}
@@ -120,3 +120,9 @@ LEFT JOIN m ON m.a = c.rep LEFT JOIN k ON k.a = c.rep
 def op6_jaccard_join(spark, sf_dir):
     """Class and number of links of every document."""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_secrets(spark, sf_dir):
+    """Secrets of every document: known forms and random strings."""
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
