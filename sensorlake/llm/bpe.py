@@ -13,9 +13,9 @@ Null text counts as empty: no ids, no bytes. Texts of any length are encoded who
 batch is taken in slices of bounded size. Decoding null gives empty bytes.
 """
 
+from array import array
 from base64 import b64decode
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from sensorlake.llm.words import text_slices
 
-#: Known pieces and pairs per process; beyond it the memory starts anew.
-KNOWN_PIECES = 250_000
-KNOWN_PAIRS = 1 << 19
+#: Known chunks, pieces and pairs per process; beyond it the memory starts anew.
+KNOWN_CHUNKS = 600_000
+KNOWN_PIECES = 400_000
+KNOWN_PAIRS = 1 << 18
 _NEVER = 1 << 62
 
 
@@ -104,11 +105,9 @@ class Vocabulary:
         if whole is not None:
             return (whole,)
         n, size, shorter, compatible = len(piece), self.size, self.shorter, self.compatible
-        longest = [-1] * n
+        longest = [-1] * (n + 1)
         for end, token in self.automaton.iter(piece.decode("latin-1")):
-            start = end - size[token] + 1
-            if longest[start] < 0 or size[token] > size[longest[start]]:
-                longest[start] = token
+            longest[end + 1 - size[token]] = token  # ends ascend, so the longest stays
         dead = bytearray(n + 1)
         out, pos, token = [], 0, longest[0]
         while pos < n:
@@ -121,8 +120,7 @@ class Vocabulary:
             if token >= 0:
                 out.append(token)
                 pos = end
-                if pos < n:
-                    token = longest[pos]
+                token = longest[pos]
             else:
                 dead[pos] = 1
                 token = out.pop()
@@ -131,53 +129,82 @@ class Vocabulary:
 
 
 class _Known(dict):
-    """Ids of the pieces met so far."""
+    """Ids, as the bytes of 32-bit integers, of what was met so far."""
 
-    def __init__(self, vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, most, ids):
+        self.most, self.ids = most, ids
 
-    def __missing__(self, piece):
-        ids = self.vocabulary.encode(piece.encode())
-        if len(self) >= KNOWN_PIECES:
+    def __missing__(self, key):
+        if len(self) >= self.most:
             self.clear()
-        self[piece] = ids
+        ids = self[key] = self.ids(key)
         return ids
 
 
+class _Encoder:
+    """Texts to ids.
+
+    If ``cut_spaces``, a text is first cut before every space that a character other than
+    white space follows, which must be a border of pieces anyway; chunks come back often.
+    """
+
+    def __init__(self, vocabulary, pattern, cut_spaces):
+        self.split = regex.compile(pattern).findall
+        pieces = _Known(KNOWN_PIECES, lambda p: array("i", vocabulary.encode(p.encode())).tobytes())
+        piece = pieces.__getitem__
+
+        def ids(text):
+            return b"".join(map(piece, self.split(text)))
+
+        self.ids = ids
+        self.chunk = _Known(KNOWN_CHUNKS, lambda c: ids(" " + c)).__getitem__
+        self.uneven = regex.compile(r" (?:\s|\Z)").search if cut_spaces else lambda text: True
+
+    def __call__(self, text):
+        if self.uneven(text):
+            return self.ids(text)
+        first, *rest = text.split(" ")
+        return self.ids(first) + b"".join(map(self.chunk, rest))
+
+
 @lru_cache(maxsize=2)
-def _loaded(path, pattern):
+def _vocabulary(path):
     with open(path, "rb") as lines:
-        ranks = {b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    vocabulary = Vocabulary(ranks)
-    return vocabulary, _Known(vocabulary), regex.compile(pattern)
+        return Vocabulary({b64decode(a): int(b) for a, b in map(bytes.split, lines)})
+
+
+@lru_cache(maxsize=2)
+def _encoder(path, pattern, cut_spaces):
+    return _Encoder(_vocabulary(path), pattern, cut_spaces)
 
 
 @lru_cache(maxsize=2)
-def _bytes_of(path, pattern):
-    pieces = _loaded(path, pattern)[0].piece
+def _bytes_of(path):
+    with open(path, "rb") as lines:
+        ranks = {int(b): b64decode(a) for a, b in map(bytes.split, lines)}
+    pieces = [ranks.get(i, b"") for i in range(max(ranks) + 1)]
     size = np.array([len(p) for p in pieces], np.int64)
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     return np.frombuffer(b"".join(pieces), np.uint8), start, size
 
 
-def encode_array(texts, path, pattern):
+def encode_array(texts, path, pattern, cut_spaces=True):
     """Lists of ids for an Arrow array of texts."""
-    _, known, split = _loaded(path, pattern)
+    encoder = _encoder(path, pattern, cut_spaces)
     values, counts = [], []
     for _, offsets, data in text_slices(texts):
         for lo, hi in zip(offsets, offsets[1:]):
-            pieces = split.findall(data[lo:hi].tobytes().decode())
-            ids = np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.int32)
+            ids = encoder(data[lo:hi].tobytes().decode())
             values.append(ids)
-            counts.append(len(ids))
+            counts.append(len(ids) >> 2)
     ends = np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])
-    flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(values))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
 
 
-def decode_array(lists, path, pattern):
+def decode_array(lists, path):
     """Bytes for an Arrow array of id lists."""
-    table, start, size = _bytes_of(path, pattern)
+    table, start, size = _bytes_of(path)
     out = []
     for ids in lists:
         ids = np.asarray(ids.values, np.int64) if ids.is_valid else np.zeros(0, np.int64)
@@ -191,26 +218,27 @@ def decode_array(lists, path, pattern):
     return pa.array(out, pa.binary())
 
 
-def encode(text, path, pattern):
+def encode(text, path, pattern, cut_spaces=True):
     """Column of token ids of a text column.
 
     ``path`` names a file of base64 tokens and ranks that every executor can open, and
-    ``pattern`` splits a text into pieces.
+    ``pattern`` splits a text into pieces. ``cut_spaces`` must be off for a pattern whose
+    pieces may go on over a space that a character other than white space follows.
     """
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        return encode_array(texts, path, pattern)
+        return encode_array(texts, path, pattern, cut_spaces)
 
     return ids(text)
 
 
-def decode(ids, path, pattern):
+def decode(ids, path):
     """Column of the bytes that a column of token ids stands for."""
 
     @F.arrow_udf("binary")
     def joined(lists: pa.Array) -> pa.Array:
-        return decode_array(lists, path, pattern)
+        return decode_array(lists, path)
 
     return joined(ids)
 
@@ -226,7 +254,7 @@ def with_tokens(docs, path, pattern, text="text"):
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
-        decode(F.col("ids"), path, pattern).alias("decoded"),
+        decode(F.col("ids"), path).alias("decoded"),
     )
 
 
