@@ -18,6 +18,7 @@ Other columns are left out of the counts, whatever their names.
 
 from pyspark.sql import functions as F
 
+from sensorlake.llm.spans import let
 from sensorlake.session import written
 
 #: White space: blank and the control characters tab to carriage return.
@@ -43,11 +44,6 @@ FUNCTION_WORDS = (
 _LONG = "long"
 
 
-def _let(value, body):
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _high(bits):
     """All bits of a long but the lowest so many."""
     return F.call_function("shiftleft", F.lit(-1).cast(_LONG), bits)
@@ -64,7 +60,7 @@ def _repeated(words):
 
     def found(n_places):
         bits = F.ceil(F.log2((n_places + 1).cast("double"))).cast("int")
-        return _let(bits, lambda b: _let(_keys(b), lambda keys: _covered(keys, b)))
+        return let(bits, lambda b: let(_keys(b), lambda keys: _covered(keys, b)))
 
     def _keys(bits):
         def key(word, i):
@@ -111,11 +107,11 @@ def counts(text):
 
     def dup_lines(t):
         lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
-        return _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast(_LONG))
+        return let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast(_LONG))
 
     def of(w):
         joined = F.array_join(w, "")
-        return _let(
+        return let(
             joined,
             lambda j: F.struct(
                 F.size(w).cast(_LONG).alias("n_words"),
@@ -132,7 +128,7 @@ def counts(text):
             ),
         )
 
-    return _let(words, of)
+    return let(words, of)
 
 
 def rules(c):
@@ -212,7 +208,7 @@ def estimates(voted, n_rules):
                 )
 
             p = posterior(model["share"], model["on_good"], model["on_bad"], votes, n_rules)
-            return _let(p, counted)
+            return let(p, counted)
 
         def new(sums):
             def shares(kind, of):
@@ -225,7 +221,7 @@ def estimates(voted, n_rules):
                 shares("bad", (1 - share) * sums["n"]),
             )
 
-        return _let(F.aggregate("rows", empty, add), new)
+        return let(F.aggregate("rows", empty, add), new)
 
     rounds = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, again)
     model = F.when(F.size("rows") > 0, rounds).otherwise(start)

@@ -27,6 +27,7 @@ import string
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sensorlake.llm.spans import let, matches
 from sensorlake.session import written
 
 # The base forms and the least lengths.
@@ -63,43 +64,8 @@ ENCODINGS = (
 )
 
 
-def _let(value, body):
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _matches(text, pattern, group=0):
-    """Array of (start, end, part) of the matches, leftmost first; part is the group.
-
-    What lies between the matches comes from splitting at the same pattern, so lengths
-    add up to places.
-    """
-    none = F.array().cast("array<struct<start:int,end:int,part:string>>")
-    both = F.struct(
-        F.split(text, pattern, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("parts"),
-    )
-
-    def placed(m):
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def step(done, i):
-            begin = done["at"] + F.char_length(F.get(m["gaps"], i))
-            end = begin + F.char_length(F.get(m["found"], i))
-            span = F.struct(
-                begin.alias("start"), end.alias("end"), F.get(m["parts"], i).alias("part")
-            )
-            return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
-
-        places = F.sequence(F.lit(0), F.size(m["found"]) - 1)
-        return F.aggregate(places, start, step, lambda done: done["out"])
-
-    return F.when(F.rlike(text, F.lit(pattern)), _let(both, placed)).otherwise(none)
-
-
 def _spans(text, kind, pattern, group=0, least=0):
-    found = F.filter(_matches(text, pattern, group), lambda m: F.char_length(m["part"]) >= least)
+    found = F.filter(matches(text, pattern, group), lambda m: F.char_length(m["part"]) >= least)
     number = KINDS.index(kind)
     return F.transform(
         found,
@@ -137,7 +103,7 @@ def _step_of(token):
         # digits repeat more than letters by chance alone, so text has no meaning for them
         spread = F.sqrt(2 * (a - 1) + 4 * F.greatest(F.lit(0.0), n * (a * COINCIDENCE - 1)))
         below = F.greatest(F.lit(0.0), (expected - chi) / spread)
-        return _let(
+        return let(
             F.transform(F.split(token, ""), lambda c: F.instr(alphabet, c).cast("double")),
             lambda x: F.when(
                 (as_random <= MOST_OFF)
@@ -152,7 +118,7 @@ def _step_of(token):
     fits = F.lit(ENCODINGS[-1][1])
     for pattern, alphabet in ENCODINGS[-2::-1]:
         fits = F.when(F.rlike(token, F.lit(f"^{pattern}$")), F.lit(alphabet)).otherwise(fits)
-    return _let(fits, tested)
+    return let(fits, tested)
 
 
 def _runs(x, a):
@@ -172,7 +138,7 @@ def _runs(x, a):
         # all on one side: no runs to count, far from random
         return F.when(mean > 2, (1 + changes - mean) / spread).otherwise(F.lit(99.0))
 
-    return _let(high, off)
+    return let(high, off)
 
 
 def _serial(x):
@@ -189,13 +155,13 @@ def _serial(x):
         own = F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - m) * (v - m))
         return F.when(own > 0, both / own * F.sqrt(n)).otherwise(F.lit(99.0))
 
-    return _let(mean, off)
+    return let(mean, off)
 
 
 def candidates(text, base):
     """Array of (start, kind number, end, step) of long tokens outside the base spans."""
     found = F.filter(
-        _matches(text, CANDIDATE),
+        matches(text, CANDIDATE),
         lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
     )
     return F.transform(
@@ -231,7 +197,7 @@ def scanned(rows, text, keep, false_share=FALSE_SHARE):
     They are written once to the shared folder, before the p-values are looked at.
     """
     text = F.coalesce(text, F.lit(""))
-    found = _let(
+    found = let(
         base_spans(text),
         lambda b: F.struct(b.alias("base"), candidates(text, b).alias("candidates")),
     )
