@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe, jaccard, quality, secret_scan, token_files, warc, winnow
+from sensorlake.llm import (
+    bpe, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, winnow,
+)
 
 QUERIES = {}
 SQL = {}
@@ -126,3 +128,22 @@ def op6_jaccard_join(spark, sf_dir):
 def op9_secrets(spark, sf_dir):
     """Secrets of every document: known forms and random strings."""
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op10_surrogates(spark, sf_dir):
+    """Every document with surrogates for its personal data."""
+    return pii.surrogates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_language(spark, sf_dir):
+    """Language of every document."""
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_token_counts(spark, sf_dir):
+    """Number of unigram tokens of every document."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.counted(table(spark, sf_dir, "documents"), path)
