@@ -258,12 +258,13 @@ def with_tokens(docs, path, pattern, text="text"):
     )
 
 
-def digests(coded):
+def digests(coded, keep_ids=False):
     """Rows of ``with_tokens`` with digests in place of ids and bytes."""
     decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select(
         "doc_id",
         "n_tokens",
+        *(["ids"] if keep_ids else []),
         F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
