@@ -18,8 +18,12 @@ def first_per_key(df, keys, arrival):
 
 
 def last_per_point(points, arrival):
-    """The value written last per mote, field and time: what the hot store shows."""
-    return points.groupBy("measurement", "mote_id", "_field", "_time").agg(
+    """The value written last per mote, field and time: what the hot store shows.
+
+    A column ``date``, the day of the time, stays, so that filters on it reach the scan.
+    """
+    keys = ["measurement", "mote_id", "_field", "_time"]
+    return points.groupBy(*keys, *[c for c in ("date",) if c in points.columns]).agg(
         F.max_by("_value", arrival).alias("_value")
     )
 

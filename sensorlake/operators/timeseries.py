@@ -39,8 +39,14 @@ def check_metric(metric):
 def select_points(
     points, as_of, start, stop="now()", metric=None, mote_id=None, measurement=MEASUREMENT
 ):
-    """Points of a time range, optionally of one metric and one mote."""
+    """Points of a time range, optionally of one metric and one mote.
+
+    Points with their ``date`` (the folders of the hot store) are limited by it as well.
+    """
     found = points.filter(times.in_range("_time", start, as_of, stop))
+    if "date" in points.columns:
+        first, last = times.bound(start, as_of).date(), times.bound(stop, as_of).date()
+        found = found.filter(F.col("date").between(times.day(first), times.day(last)))
     if measurement is not None:
         found = found.filter(F.col("measurement") == measurement)
     if metric is not None:

@@ -5,6 +5,7 @@ The stream source is a folder of message files that Spark writes from the events
 
 from pyspark.sql import functions as F
 
+from sensorlake.functions import times
 from sensorlake.operators.dedup import last_per_point
 from sensorlake.operators.timeseries import to_points
 from sensorlake.plans import tables
@@ -134,7 +135,7 @@ def stream_sink(spark, sf_dir):
 )
 def hot_points(spark, sf_dir):
     hot, _, _, _ = _ingested(spark, sf_dir)
-    return hot_view(spark, hot).drop("measurement")
+    return hot_view(spark, hot).drop("measurement", "date")
 
 
 def _ingested(spark, sf_dir):
@@ -178,17 +179,56 @@ def replayed_batch(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+# Two sources into one store: the even events as text lines at their recorded time, then
+# all messages; where both have a value the message, written later, shows.
+_LINES = f"""(SELECT CAST(user_id % {MOTES} + 1 AS VARCHAR) AS mote_id, ts AS _time,
+    max_by(value, event_id) AS value FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2)"""
+
+
+@query(
+    "t3_two_sources",
+    f"""SELECT * FROM {_HOT} UNION ALL
+        SELECT mote_id, 'temperature', _time, value + 100 FROM {_LINES} l
+        WHERE NOT EXISTS (SELECT 1 FROM {_HOT} h WHERE h.mote_id = l.mote_id
+          AND h._time = l._time AND h._field = 'temperature')""",
+)
+def two_sources(spark, sf_dir):
+    """A backfill from text, then a live ingest, into one store; then the text once more
+    from its own checkpoint, which changes nothing."""
+    hot, cold = scratch_path(spark, "hot"), scratch_path(spark, "archive")
+    text, checkpoint = scratch_path(spark, "lines"), scratch_path(spark, "checkpoint")
+    events = tables.table(spark, sf_dir, "events").filter("event_id % 2 = 0")
+    mote, ts = (F.col("user_id") % MOTES + 1).cast("string"), F.col("ts")
+    latest = events.groupBy(mote.alias("mote"), "ts").agg(F.max_by("value", "event_id").alias("value"))
+    line = F.concat_ws(
+        " ", F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("1"), "mote",
+        (F.col("value") + 100).cast("string"), F.lit("?"), F.lit("?"), F.lit("?"), times.iso_text(ts),
+    )
+    latest.select(line.alias("line")).write.text(text)
+    sink = DualSink(hot, cold)
+    jobs.backfill(spark, text, sink, checkpoint, files_per_batch=2).awaitTermination()
+    jobs.ingest(
+        _stream(spark, sf_dir), sink, scratch_path(spark, "checkpoint")
+    ).awaitTermination()
+    jobs.backfill(spark, text, sink, checkpoint, files_per_batch=2).awaitTermination()
+    return hot_view(spark, hot).select("mote_id", "_field", "_time", "_value")
+
+
 @query(
     "t4_stream_dedup",
     f"SELECT DISTINCT mote_id, event_time FROM {_ACCEPTED}",
 )
 def stream_dedup(spark, sf_dir):
+    """Several batches of files, rows of any age, and repeats across batches."""
     path, checkpoint = scratch_path(spark, "rows"), scratch_path(spark, "checkpoint")
-    rows = jobs.deduplicated(messages.parse(_stream(spark, sf_dir)), "800 days")
-    rows = rows.select("mote_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
-    schema = rows.schema
-    jobs.to_files(rows, path, checkpoint).awaitTermination()
-    return spark.read.schema(schema).parquet(path)
+    topic = scratch_path(spark, "topic")
+    for part in range(3):
+        sent = _sent(spark, sf_dir).filter(F.col("event_id") % 3 <= part)
+        messages.write_files(sent, topic, ("key", "event_id", "copy"))
+    stream = messages.read_files(spark, topic, files_per_batch=8)
+    jobs.write_deduplicated(stream, path, checkpoint).awaitTermination()
+    schema = "mote_id int, event_time timestamp_ntz, source string, batch long, date string"
+    return spark.read.schema(schema).parquet(path).select("mote_id", "event_time")
 
 
 @query(
@@ -217,8 +257,7 @@ def live_minute_mean(spark, sf_dir):
     jobs.write_minute_parts(
         _stream(spark, sf_dir), path, scratch_path(spark, "checkpoint")
     ).awaitTermination()
-    schema = "mote_id string, _field string, _time timestamp_ntz, total double, n long, batch long"
-    means = jobs.minute_means(spark.read.schema(schema).parquet(path))
+    means = jobs.minute_means(spark.read.schema(jobs.PARTS_SCHEMA).parquet(path))
     return means.withColumn("_value", F.round("_value", 6))
 
 
@@ -231,17 +270,17 @@ def live_minute_mean(spark, sf_dir):
           (SELECT max(event_time) - INTERVAL 1 HOUR FROM {_ACCEPTED})""",
 )
 def closed_windows(spark, sf_dir):
-    """Means of the windows the watermark has closed; the newest hour stays open."""
-    path, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "checkpoint")
-    means = jobs.live_minute_mean(messages.parse(_stream(spark, sf_dir)), "temperature")
-    schema = means.schema
-    jobs.to_files(means, path, checkpoint).awaitTermination()
-    rows = spark.read.schema(schema).parquet(path)
-    return rows.select(
-        "mote_id",
-        F.col("_time").cast("timestamp_ntz").alias("_time"),
-        F.round("_value", 6).alias("_value"),
+    """Means of the windows that have closed, late rows included; the newest hour stays
+    open."""
+    path, topic = scratch_path(spark, "parts"), _topic(spark, sf_dir)
+    stream = messages.read_files(spark, topic, files_per_batch=4)
+    jobs.write_minute_parts(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    newest = (
+        messages.accepted(messages.parse(spark.read.text(topic))).agg(F.max("event_time")).first()[0]
     )
+    parts = spark.read.schema(jobs.PARTS_SCHEMA).parquet(path)
+    means = jobs.closed_means(parts.filter("_field = 'temperature'"), newest)
+    return means.select("mote_id", "_time", F.round("_value", 6).alias("_value"))
 
 
 @query(
@@ -271,7 +310,7 @@ def resumed_ingest(spark, sf_dir):
         messages.write_files(part, topic, ("key", "event_id", "copy"))
         stream = messages.read_files(spark, topic)
         jobs.ingest(stream, DualSink(hot, cold), checkpoint).awaitTermination()
-    return hot_view(spark, hot).drop("measurement")
+    return hot_view(spark, hot).drop("measurement", "date")
 
 
 @query(

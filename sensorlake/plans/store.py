@@ -3,12 +3,13 @@
 from datetime import timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sensorlake.operators import dedup, joins
 from sensorlake.plans import tables
 from sensorlake.plans.registry import query
 from sensorlake.plans.tables import MOTES, sql
-from sensorlake.schemas import METRICS, PARTITIONS, READING
+from sensorlake.schemas import METRICS, MOTE_ARCHIVE, READING
 from sensorlake.session import scratch_path
 from sensorlake.sources import archive
 
@@ -82,11 +83,24 @@ def archive_reader(spark, sf_dir):
     )
 
 
-@query("s6_first_files")
-def first_files(spark, sf_dir):
-    """Rows per file of the first three files by name."""
-    rows = archive.read_files(spark, _written(spark, sf_dir), 3)
-    return rows.groupBy(*PARTITIONS, "mote_id").agg(F.count(F.lit(1)).alias("n_rows"))
+@query(
+    "s6_mixed_tree",
+    f"""SELECT mote_id, epoch, "timestamp", updated_timestamp, {_METRICS} FROM {_COMPLETE}
+        WHERE epoch % 3 < 2 UNION ALL
+        SELECT mote_id, NULL, "timestamp", updated_timestamp, {_FLOATS}
+        FROM {_COMPLETE} WHERE epoch % 3 = 2 AND {_FOUR}""",
+)
+def mixed_tree(spark, sf_dir):
+    """One tree of all layouts: by mote, by mote with times as text, daily."""
+    path, rows = scratch_path(spark, "archive"), _complete(spark, sf_dir)
+    archive.write_mote_archive(rows.filter("epoch % 3 = 0"), path)
+    text = rows.filter("epoch % 3 = 1").withColumn("timestamp", F.col("timestamp").cast("string"))
+    archive.write_mote_archive(text, path)
+    archive.write_daily_archive(rows.filter("epoch % 3 = 2"), path)
+    found, unread = archive.read_tree(spark, path)
+    if not unread.isEmpty():
+        raise ValueError("some files were not read")
+    return found
 
 
 @query(
@@ -207,6 +221,26 @@ def compacted_archive(spark, sf_dir):
     )
 
 
+@query(
+    "s15_unequal_columns",
+    sql(
+        f"""SELECT mote_id, epoch, "timestamp", updated_timestamp, {_METRICS},
+            CASE WHEN epoch % 2 = 1 THEN epoch * 2 END AS extra FROM folded""",
+        "folded",
+    ),
+)
+def compacted_unequal(spark, sf_dir):
+    """Compaction of files of which only some have another column."""
+    path, rows = scratch_path(spark, "archive"), _folded(spark, sf_dir)
+    archive.write_mote_archive(rows.filter("epoch % 2 = 0"), path)
+    extra = rows.filter("epoch % 2 = 1").withColumn("extra", F.col("epoch") * 2)
+    archive.write_mote_archive(extra, path)
+    archive.compact(spark, path)
+    schema = StructType([*MOTE_ARCHIVE, StructField("extra", LongType())])
+    found = spark.read.schema(schema).parquet(path)
+    return found.select("mote_id", "epoch", "timestamp", "updated_timestamp", *METRICS, "extra")
+
+
 @query(
     "u3_promoted_columns",
     sql(

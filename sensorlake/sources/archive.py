@@ -4,16 +4,18 @@ from datetime import timedelta
 from functools import reduce
 from operator import or_
 
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sensorlake.functions import times
 from sensorlake.schemas import DAILY_ARCHIVE, METRICS, MOTE_ARCHIVE, PARTITIONS, READING
-from sensorlake.session import scratch_path, written
+from sensorlake.session import written
 
 MOTE_PARTITIONS = (*PARTITIONS, "mote_id")
 MOTE_FOLDER = r"(year=\d+/month=\d+/day=\d+/mote_id=\d+)/[^/]+\.parquet$"
-NAMED_FOLDERS = 10_000
 DAY_FOLDER = r"(year=\d+/month=\d+/day=\d+)(?:/mote_id=\d+)?/[^/]+\.parquet$"
 
 
@@ -88,18 +90,17 @@ def list_files(spark, path):
     )
 
 
-def _reader(spark, schema, skip_unreadable):
-    return spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_unreadable).lower())
+_TEXT_TIMES = StructType(
+    [StructField("timestamp", StringType()) if f.name == "timestamp" else f for f in MOTE_ARCHIVE]
+)
 
 
-def read_mote_archive(spark, path, skip_unreadable=True, text_times=False):
-    """The archive by day and mote; ``text_times`` reads recorded times kept as ISO text."""
-    schema = MOTE_ARCHIVE
-    if text_times:
-        schema = StructType(
-            [StructField("timestamp", StringType()) if f.name == "timestamp" else f for f in schema]
-        )
-    rows = _reader(spark, schema, skip_unreadable).parquet(path)
+def read_mote_archive(spark, path, text_times=False):
+    """The archive by day and mote; ``text_times`` reads recorded times kept as ISO text.
+
+    A file that cannot be read is an error; ``read_tree`` sets such files aside.
+    """
+    rows = spark.read.schema(_TEXT_TIMES if text_times else MOTE_ARCHIVE).parquet(path)
     if text_times:
         rows = rows.withColumn("timestamp", _any_time(F.col("timestamp")))
     return rows
@@ -109,9 +110,12 @@ def _any_time(column):
     return times.iso_time(F.regexp_replace(column, " ", "T"))
 
 
-def read_daily_archive(spark, path, skip_unreadable=True):
+def read_daily_archive(spark, path):
     """The daily archive with its text times parsed and floats widened."""
-    rows = _reader(spark, DAILY_ARCHIVE, skip_unreadable).parquet(path)
+    return _daily(spark.read.schema(DAILY_ARCHIVE).parquet(path))
+
+
+def _daily(rows):
     return rows.withColumns(
         {
             "timestamp": _any_time(F.col("timestamp")),
@@ -129,12 +133,57 @@ def combined_readings(*archives):
     return merged.select(*names)
 
 
-def read_files(spark, path, max_files, schema=MOTE_ARCHIVE):
-    """The first files by name, for a look at an archive; 0 reads them all."""
-    if not max_files:
-        return _reader(spark, schema, True).parquet(path)
-    names = [r["path"] for r in list_files(spark, path).orderBy("path").limit(max_files).collect()]
-    return _reader(spark, schema, True).option("basePath", path).parquet(*names)
+def file_key(column):
+    """A file path without the slashes that spellings of its scheme differ in."""
+    return F.regexp_replace(column, r"^(\w+):/+", r"$1:/")
+
+
+def _lenient(spark, schema, path, glob):
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+    return (
+        reader.option("basePath", path)
+        .parquet(f"{path}/{glob}")
+        .withColumn("_key", file_key(F.col("_metadata.file_path")))
+    )
+
+
+def _whole_files(rows):
+    """Keys of the files all of whose columns could be read; the hash makes it read them."""
+    columns = [c for c in rows.columns if c != "_key"]
+    return rows.groupBy("_key").agg(F.bit_xor(F.xxhash64(*columns)).alias("content"))
+
+
+_BY_MOTE, _BY_DAY = "year=*/month=*/day=*/mote_id=*", "year=*/month=*/day=*/*.parquet"
+
+
+def read_tree(spark, path):
+    """Readings of an archive in which layouts and types are mixed, and its unread files.
+
+    Each file is read in the first form that fits all of its columns: by mote, by mote
+    with times as text, daily. The second table has the path of every Parquet file that
+    fits none (or has no rows).
+    """
+    files = written(list_files(spark, path).select("path"), "tree-files")
+    files = files.withColumn("_key", file_key(F.col("path")))
+    forms = [
+        (_BY_MOTE, MOTE_ARCHIVE, lambda rows: rows),
+        (_BY_MOTE, _TEXT_TIMES, lambda rows: rows.withColumn("timestamp", _any_time(F.col("timestamp")))),
+        (_BY_DAY, DAILY_ARCHIVE, _daily),
+    ]
+    found = []
+    for glob, schema, typed in forms:
+        try:
+            rows = _lenient(spark, schema, path, glob)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            continue
+        whole = written(_whole_files(rows).join(files, "_key", "left_semi"), "tree-files")
+        found.append(typed(rows.join(whole.select("_key"), "_key", "left_semi").drop("_key")))
+        files = written(files.join(whole, "_key", "left_anti"), "tree-files")
+    if not found:
+        found = [spark.createDataFrame([], READING)]
+    return combined_readings(*found), files.select("path")
 
 
 def recent_days(as_of, days):
@@ -184,43 +233,122 @@ def compaction_plan(files, min_files=2, only=None, limit=0):
     return plan.orderBy("folder").limit(limit) if limit else plan
 
 
-def _folder_columns():
-    return F.concat(
-        *[
-            part
-            for i, c in enumerate(MOTE_PARTITIONS)
-            for part in (F.lit(("/" if i else "") + c + "="), F.col(c).cast("string"))
-        ]
-    )
+def delete_files(files):
+    """Delete exactly the files in the column ``path``; one that is gone already is fine.
 
+    The tasks use Arrow's file systems, so names never gather on the driver.
+    """
 
-def _rows_of(spark, path, plan):
-    """Rows of the planned folders with their file; a short plan prunes the scan by name."""
-    rows = (
-        _reader(spark, MOTE_ARCHIVE, True)
-        .parquet(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("folder", _folder_columns())
+    def remove(batches):
+        for batch in batches:
+            for path in batch["path"].to_pylist():
+                system, name = fs.FileSystem.from_uri(_arrow_uri(path))
+                try:
+                    system.delete_file(name)
+                except FileNotFoundError:
+                    pass
+            yield batch.select(["path"])
+
+    files.select("path").mapInArrow(remove, "path string").write.format("noop").mode(
+        "overwrite"
+    ).save()
+
+
+def _arrow_uri(path):
+    scheme, _, rest = path.partition(":")
+    if not rest or "/" in scheme:
+        return path
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return f"{scheme}://{'/' if scheme == 'file' else ''}{rest.lstrip('/')}"
+
+
+def _round_rows(spark, path, names):
+    """Rows of some folders with the union of their files' columns, or None if two files
+    disagree about a type."""
+    folders = [f"{path}/{name}" for name in names]
+    try:
+        rows = (
+            spark.read.option("basePath", path)
+            .option("mergeSchema", "true")
+            .option("ignoreCorruptFiles", "true")
+            .option("partitionInferenceEnabled", "false")
+            .parquet(*folders)
+        )
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(c in str(error) for c in ("CANNOT_MERGE", "UNABLE_TO_INFER", "Failed merging")):
+            raise
+        return None
+    # folder values as they are named, and the columns of the archive even if all are absent
+    folder = F.regexp_extract(F.col("_metadata.file_path"), MOTE_FOLDER, 1)
+    values = {
+        c: F.regexp_extract(folder, rf"{c}=([^/]+)", 1) for c in MOTE_PARTITIONS
+    }
+    absent = [f for f in MOTE_ARCHIVE if f.name not in rows.columns]
+    return rows.withColumns(
+        {
+            **{f.name: F.lit(None).cast(f.dataType) for f in absent},
+            "_key": file_key(F.col("_metadata.file_path")),
+            "folder": folder,
+            **values,
+        }
     )
-    names = [r["folder"] for r in plan.select("folder").limit(NAMED_FOLDERS + 1).collect()]
-    if len(names) <= NAMED_FOLDERS:
-        return rows.filter(_folder_columns().isin(names))
-    return rows.join(plan.select("folder"), "folder", "left_semi")
+
+
+#: Folders that are compacted at once; more are taken in further rounds.
+ROUND = 1_000
+
+
+def _rounds(spark, path, names):
+    """(names, rows) of groups of folders; a group whose files disagree is halved."""
+    groups = [names[i : i + ROUND] for i in range(0, len(names), ROUND)]
+    while groups:
+        group = groups.pop()
+        rows = _round_rows(spark, path, group)
+        if rows is None and len(group) > 1:
+            half = len(group) // 2
+            groups += [group[:half], group[half:]]
+        else:
+            yield group, rows
 
 
 def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_originals=False):
     """Rewrite folders of many small files and report per folder.
 
-    Rows go to a staging folder first. A folder is replaced only when every one of
-    its files was read; one with an unreadable file is left as it is and reported
-    as ``partial``. The swap is Spark's overwrite of just the folders written, so a
-    second run finds nothing to do, and the staged rows outlive a failed swap.
-    ``keep_originals`` stops after staging.
+    The files to replace are listed first. Their rows, with the union of their columns,
+    are staged; a folder goes on only if every listed file was read, else it is left as it
+    is and reported as ``partial`` (or as ``error`` if nothing of it could be read). The
+    new files are added beside the old ones, and then exactly the listed files are
+    deleted, so files that arrive meanwhile stay. A second run finds nothing to do.
+    Between the two steps rows show twice; a run that ends there has its report in the
+    shared folder. ``keep_originals`` stops after staging. Folder names go to the driver,
+    ``ROUND`` folders are worked on at once.
     """
-    plan = written(
-        compaction_plan(inventory(spark, path), min_files, only, limit), "compaction-plan"
-    )
-    rows = _rows_of(spark, path, plan)
+    files = written(inventory(spark, path).filter(F.col("folder").isNotNull()), "files")
+    plan = written(compaction_plan(files, min_files, only, limit), "compaction-plan")
+    names = sorted(r["folder"] for r in plan.select("folder").collect())
+    report = None
+    for group, rows in _rounds(spark, path, names):
+        chosen = F.col("folder").isin(group)
+        one = _compact_round(
+            spark, path, files.filter(chosen), plan.filter(chosen), rows, dry_run, keep_originals
+        )
+        report = one if report is None else report.unionByName(one)
+    return _empty_report(spark) if report is None else report
+
+
+_REPORT = "folder string, n_files long, n_rows long, status string"
+
+
+def _empty_report(spark):
+    return spark.createDataFrame([], _REPORT)
+
+
+def _compact_round(spark, path, files, plan, rows, dry_run, keep_originals):
+    if rows is None:
+        none = F.lit(0).cast("long")
+        return plan.select("folder", "n_files", none.alias("n_rows"), F.lit("error").alias("status"))
+    listed = files.select(file_key(F.col("path")).alias("_key"))
+    rows = rows.join(listed, "_key", "left_semi")
     if dry_run:
         counted = rows.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
         return plan.join(counted, "folder", "left").select(
@@ -229,15 +357,9 @@ def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_or
             F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
             F.lit("dry_run").alias("status"),
         )
-
-    staging = scratch_path(spark, "compaction")
-    _balanced(rows, MOTE_PARTITIONS).write.partitionBy(*MOTE_PARTITIONS).parquet(staging)
-    staged_schema = StructType(
-        [*MOTE_ARCHIVE, StructField("folder", StringType()), StructField("_file", StringType())]
-    )
-    staged = spark.read.schema(staged_schema).parquet(staging)
+    staged = written(_balanced(rows, MOTE_PARTITIONS), "compaction")
     read = staged.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_file").alias("n_read")
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_key").alias("n_read")
     )
     report = written(
         plan.join(read, "folder", "left").select(
@@ -252,10 +374,12 @@ def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_or
         "compaction-report",
     )
     if not keep_originals:
-        whole = staged.join(report.filter("status = 'ok'").select("folder"), "folder", "left_semi")
-        _balanced(whole.drop("folder", "_file"), MOTE_PARTITIONS).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).option("compression", "snappy").partitionBy(*MOTE_PARTITIONS).parquet(path)
+        done = report.filter("status = 'ok'").select("folder")
+        whole = staged.join(done, "folder", "left_semi")
+        _balanced(whole.drop("folder", "_key"), MOTE_PARTITIONS).write.mode("append").option(
+            "compression", "snappy"
+        ).partitionBy(*MOTE_PARTITIONS).parquet(path)
+        delete_files(files.join(done, "folder", "left_semi"))
     return report
 
 

@@ -1,12 +1,17 @@
 """Streaming jobs: ingest, backfill from text, deduplication, live means."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sensorlake.functions import times
+from sensorlake.operators.dedup import first_per_key
+from sensorlake.operators.joins import unseen
 from sensorlake.operators.timeseries import to_points
 from sensorlake.schemas import METRICS
 from sensorlake.sources.text import parse_ragged
 from sensorlake.streaming import messages
+from sensorlake.streaming.sinks import batch_folder, in_days_of, with_arrival
 
 
 def batch_trigger(seconds=1.0):
@@ -17,21 +22,38 @@ def batch_trigger(seconds=1.0):
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
 
-def ingest(stream, sink, checkpoint, trigger=UNTIL_CAUGHT_UP):
-    """Messages to both stores. Progress is committed after the sink returns, and a
-    restart from the same checkpoint repeats at most the open batch."""
+def source_of(spark, checkpoint):
+    """The id Spark keeps in a checkpoint: the same after a restart, new for a new one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def each_batch(stream, write, checkpoint, trigger):
+    """Calls ``write(rows, batch, source)`` per batch. Progress is committed after it
+    returns, and a restart from the same checkpoint repeats at most the open batch, under
+    the same source and number."""
+    source = []
+
+    def named(rows, batch):
+        if not source:
+            source.append(source_of(rows.sparkSession, checkpoint))
+        write(rows, batch, source[0])
+
     return (
-        messages.parse(stream)
-        .writeStream.foreachBatch(lambda rows, batch: sink(rows, batch))
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def ingest(stream, sink, checkpoint, trigger=UNTIL_CAUGHT_UP):
+    """Messages to both stores."""
+    return each_batch(messages.parse(stream), sink, checkpoint, trigger)
+
+
 def text_messages(lines):
     """Ragged text lines in the shape of parsed messages."""
-    kept = [c for c in ("line", "arrival") if c in lines.columns]
+    kept = [c for c in ("line", "arrival", "place") if c in lines.columns]
     parsed = parse_ragged(lines, keep=kept)
     event_time = times.iso_time(F.col("updated_text"))
     no_time = F.when(event_time.isNull(), "unreadable time")
@@ -50,23 +72,23 @@ def text_messages(lines):
     )
 
 
-def read_text_stream(spark, path, files_per_batch=None):
-    stream = messages.read_files(spark, path, files_per_batch)
+def read_text_stream(
+    spark, path, files_per_batch=None, bytes_per_batch=messages.BYTES_PER_BATCH
+):
+    stream = messages.read_files(spark, path, files_per_batch, bytes_per_batch)
     return stream.withColumnRenamed("value", "line")
 
 
-def backfill(spark, path, sink, checkpoint, files_per_batch=None):
-    """Text files to both stores, resumable: a file that was loaded is not read again.
+def backfill(
+    spark, path, sink, checkpoint, files_per_batch=None, bytes_per_batch=messages.BYTES_PER_BATCH
+):
+    """Text files to both stores in batches, resumable: a file that was loaded is not read
+    again.
 
     ``DualSink(cold_only=True)`` leaves the hot store out.
     """
-    return (
-        text_messages(read_text_stream(spark, path, files_per_batch))
-        .writeStream.foreachBatch(lambda rows, batch: sink(rows, batch))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**UNTIL_CAUGHT_UP)
-        .start()
-    )
+    lines = read_text_stream(spark, path, files_per_batch, bytes_per_batch)
+    return each_batch(text_messages(lines), sink, checkpoint, UNTIL_CAUGHT_UP)
 
 
 def backfill_report(parsed):
@@ -89,19 +111,52 @@ def event_times(parsed):
     return messages.accepted(parsed).withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
-def deduplicated(parsed, delay="1 hour"):
-    """The first row to arrive per mote and event time, remembered for ``delay`` of event
-    time. Rows without an event time are in the rejects."""
-    return (
-        event_times(parsed)
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["mote_id", "event_time"])
-    )
+def write_deduplicated(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP):
+    """The first row to arrive per mote and event time, whatever its age.
+
+    What was written is the memory, so nothing is forgotten and no state grows: a batch
+    is compared with the day folders its rows fall in. A replayed batch replaces its own
+    files. Rows without an event time are in the rejects.
+    """
+
+    def write(parsed, batch, source):
+        rows = messages.accepted(with_arrival(parsed))
+        day = F.date_format("event_time", "yyyy-MM-dd")
+        rows = first_per_key(rows, ["mote_id", "event_time"], ["arrival"]).drop("arrival")
+        rows = rows.withColumn("date", day).persist()
+        try:
+            known = read_deduplicated(rows.sparkSession, path, rows.schema)
+            known = known.filter(in_days_of(rows, F.col("date")))
+            known = known.filter((F.col("source") != source) | (F.col("batch") != batch))
+            new = unseen(rows, known, ("mote_id", "event_time"))
+            new.write.mode("overwrite").partitionBy("date").parquet(
+                batch_folder(path, source, batch)
+            )
+        finally:
+            rows.unpersist()
+
+    return each_batch(messages.parse(stream), write, checkpoint, trigger)
+
+
+def read_deduplicated(spark, path, schema):
+    """What ``write_deduplicated`` wrote; no rows where nothing is written yet."""
+    columns = [f for f in schema if f.name not in ("source", "batch", "date")]
+    schema = StructType(columns).add("source", "string").add("batch", "long").add("date", "string")
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def live_minute_mean(parsed, metric, delay="1 hour", every="1 minute"):
-    """Mean per mote and window as a stream. A window is emitted once the watermark has
-    passed its end; state is kept for windows still open."""
+    """Mean per mote and window as a stream, for a display: a window is emitted once the
+    watermark has passed its end, and state is kept for windows still open.
+
+    Rows later than ``delay`` are not in it. ``write_minute_parts`` counts them as well,
+    and ``closed_means`` gives the same windows from its sums.
+    """
     return (
         event_times(parsed)
         .filter(F.col(metric).isNotNull())
@@ -127,19 +182,19 @@ def minute_parts(parsed, every="1 minute"):
     )
 
 
+PARTS_SCHEMA = (
+    "mote_id string, _field string, _time timestamp_ntz, total double, n long, "
+    "source string, batch long"
+)
+
+
 def write_minute_parts(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP):
     """Append each batch's window sums; a replayed batch replaces its own files."""
 
-    def write(rows, batch):
-        minute_parts(rows).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    def write(rows, batch, source):
+        minute_parts(rows).write.mode("overwrite").parquet(batch_folder(path, source, batch))
 
-    return (
-        messages.parse(stream)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return each_batch(messages.parse(stream), write, checkpoint, trigger)
 
 
 def minute_means(parts):
@@ -149,6 +204,12 @@ def minute_means(parts):
     )
 
 
+def closed_means(parts, newest, delay="1h"):
+    """Means of the windows that ended ``delay`` before the newest event; rows that came
+    later than that are counted too."""
+    return minute_means(parts.filter(F.col("_time") <= times.at(newest - times.duration(delay))))
+
+
 def to_files(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP):
     """A stream appended to Parquet; the sink's own log keeps replays out."""
     return (

@@ -64,12 +64,27 @@ def write_files(messages, path, order=("key",)):
     messages.sortWithinPartitions(*order).select("value").write.mode("append").text(path)
 
 
-def read_files(spark, path, files_per_batch=None):
-    """Message files as a stream; stands in for the broker where there is none."""
+#: Bytes of message files per batch; a backlog is taken in several batches.
+BYTES_PER_BATCH = 1 << 30
+
+
+def read_files(spark, path, files_per_batch=None, bytes_per_batch=BYTES_PER_BATCH):
+    """Message files as a stream; stands in for the broker where there is none.
+
+    ``place`` tells the file and block of a line, for the order of arrival.
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.text(path)
+    elif bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", str(bytes_per_batch))
+    meta = F.col("_metadata")
+    place = F.struct(
+        meta["file_modification_time"].alias("time"),
+        meta["file_path"].alias("path"),
+        meta["file_block_start"].alias("block"),
+    )
+    return reader.text(path).select("value", place.alias("place"))
 
 
 _CORRUPT = "_corrupt"
@@ -79,8 +94,8 @@ _PARSED = StructType([*MESSAGE, StructField(_CORRUPT, StringType())])
 def parse(messages):
     """Message values as columns; null values are skipped.
 
-    A column ``arrival`` is kept; it orders the rows of one mote. A broker's offset
-    does, because a mote's messages share a key and so a partition.
+    A column ``arrival`` or ``place`` is kept; it orders the rows of one mote. A broker's
+    offset does, because a mote's messages share a key and so a partition.
 
     ``reject`` says why a row cannot become points: malformed JSON, no mote, no
     metric, no time or an unreadable time. Accepted rows have ``event_time``: the
@@ -88,7 +103,7 @@ def parse(messages):
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     body = F.from_json("value", _PARSED, options)
-    kept = [c for c in ("value", "arrival") if c in messages.columns]
+    kept = [c for c in ("value", "arrival", "place") if c in messages.columns]
     rows = messages.filter(F.col("value").isNotNull()).select(*kept, body.alias("m"))
     rows = rows.select(*kept, "m.*")
     whole = F.col(_CORRUPT).isNull()
@@ -111,7 +126,7 @@ def parse(messages):
 
 
 def accepted(parsed):
-    return parsed.filter(F.col("reject").isNull()).drop("reject", "value")
+    return parsed.filter(F.col("reject").isNull()).drop("reject", "value", "place")
 
 
 def rejected(parsed):

@@ -127,7 +127,7 @@ def test_compaction_leaves_folder_with_unreadable_file(spark, tmp_path):
     assert status.pop("year=2026/month=02/day=28/mote_id=1") == "partial"
     assert set(status.values()) == {"ok"} and os.path.exists(broken)
     assert files_per_folder(spark, path)["year=2026/month=02/day=28/mote_id=1"] == 3
-    assert keys(archive.read_mote_archive(spark, path)) == keys(rows)
+    assert keys(archive.read_tree(spark, path)[0]) == keys(rows)
 
 
 def test_compaction_of_one_folder_and_foreign_files(spark, tmp_path):
@@ -143,11 +143,54 @@ def test_compaction_of_one_folder_and_foreign_files(spark, tmp_path):
     assert archive.compaction_plan(archive.inventory(spark, path), min_files=3).count() == 0
 
 
-def test_first_files(spark, tmp_path):
+def test_compaction_keeps_columns_and_late_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "a")
+    rows = readings(spark, 12)
+    for i in range(2):
+        part = rows.filter(F.floor(F.col("epoch") / 3) % 2 == i)
+        archive.write_mote_archive(part.withColumn(f"extra{i}", F.lit(i)), path)
+    late = readings(spark, 15).filter("epoch >= 12")
+    staged = archive.written
+
+    def slow(df, name):
+        out = staged(df, name)
+        if name == "compaction":
+            archive.write_mote_archive(late, path)
+        return out
+
+    monkeypatch.setattr(archive, "written", slow)
+    archive.compact(spark, path)
+    read = spark.read.option("mergeSchema", "true").parquet(path)
+    assert read.count() == 15
+    sums = read.agg(F.count("extra0"), F.count("extra1")).first()
+    assert tuple(sums) == (6, 6)
+
+
+def test_compaction_of_files_that_disagree(spark, tmp_path):
+    path = str(tmp_path / "a")
+    rows = readings(spark, 6)
+    archive.write_mote_archive(rows, path)
+    archive.write_mote_archive(rows.filter("mote_id < 3"), path)
+    archive.write_mote_archive(
+        rows.filter("mote_id = 3").withColumn("timestamp", F.col("timestamp").cast("string")), path
+    )
+    status = {r["folder"][-1]: r["status"] for r in archive.compact(spark, path).collect()}
+    assert status == {"1": "ok", "2": "ok", "3": "error"}
+    found, unread = archive.read_tree(spark, path)
+    assert found.count() == 12 and unread.count() == 0
+
+
+def test_unreadable_files_are_told(spark, tmp_path):
     path = str(tmp_path / "a")
     archive.write_mote_archive(readings(spark), path)
-    assert archive.read_files(spark, path, 2).select("mote_id").distinct().count() == 2
-    assert archive.read_files(spark, path, 0).count() == 60
+    broken = f"{path}/year=2026/month=02/day=28/mote_id=1/part-broken.parquet"
+    with open(broken, "w") as f:
+        f.write("not a parquet file")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        archive.read_mote_archive(spark, path).agg(F.sum("temperature")).collect()
+    rows, unread = archive.read_tree(spark, path)
+    assert keys(rows) == keys(readings(spark))
+    assert [r["path"].endswith("part-broken.parquet") for r in unread.collect()] == [True]
 
 
 def test_dedup(spark):

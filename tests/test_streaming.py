@@ -2,10 +2,13 @@
 
 import json
 import os
+import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from sensorlake.operators import timeseries
 from sensorlake.sources import archive
 from sensorlake.streaming import jobs, messages, sinks
 
@@ -92,11 +95,40 @@ def test_restart_continues(run):
     run()
     assert run.values() == [("1", 0, 50.0), ("1", 1, 21.0)]
     assert run.archived() == [(1, 0, 20.0), (1, 1, 21.0)]
-    folded = run.hot + "-folded"
-    sinks.fold_hot(run.spark, run.hot, folded)
-    run.hot = folded
+    sinks.fold_hot(run.spark, run.hot)
     assert run.values() == [("1", 0, 50.0), ("1", 1, 21.0)]
-    assert sinks.read_hot(run.spark, folded).select("batch").distinct().count() == 1
+    assert sinks.read_hot(run.spark, run.hot).select("source").distinct().count() == 1
+    put(run.topic, "c", message(1, 1, temperature=7.0))
+    run()
+    assert run.values() == [("1", 0, 50.0), ("1", 1, 7.0)]
+
+
+def test_two_sources_share_a_store(run, tmp_path):
+    put(run.topic, "a", message(1, 0), message(1, 1))
+    run()
+    run.topic, run.checkpoint = str(tmp_path / "topic2"), str(tmp_path / "cp2")
+    put(run.topic, "a", message(1, 1, temperature=50.0), message(2, 2))
+    run()
+    assert run.values() == [("1", 0, 20.0), ("1", 1, 50.0), ("2", 2, 22.0)]
+    assert run.archived() == [(1, 0, 20.0), (1, 1, 21.0), (2, 2, 22.0)]
+
+
+def test_questions_read_only_their_days(run, spark):
+    put(run.topic, "a", message(1, 0), message(1, 1, updated_timestamp="2020-01-01T00:03:00"))
+    run()
+    as_of = datetime(2026, 2, 10, 12)
+    found = timeseries.select_points(sinks.hot_view(spark, run.hot), as_of, "-3h")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert "date" in filters[1] and found.count() == 3
+
+
+def test_files_count_in_the_order_of_their_time(run):
+    put(run.topic, "z", message(1, 0), message(1, 0, temperature=1.0))
+    put(run.topic, "a", message(1, 0, temperature=2.0))
+    os.utime(os.path.join(run.topic, "z"), (1, 1))
+    run()
+    assert run.values() == [("1", 0, 2.0)] and run.archived() == [(1, 0, 20.0)]
 
 
 def test_late_rows_are_stored(run):
@@ -115,11 +147,22 @@ def test_failed_archive_write_is_repaired(run, spark, monkeypatch):
 
     with monkeypatch.context() as m:
         m.setattr(sinks, "archive_new", fail)
-        sink = run()
-    assert sink.failed_batches == [0]
+        run()
     assert len(run.values()) == 2 and not os.path.exists(run.cold)
+    assert sinks.retry_pending(spark, run.hot, run.cold) > 0
+    assert sinks.retry_pending(spark, run.hot, run.cold) == 0
+    assert run.archived() == [(1, 0, 20.0), (2, 1, 21.0)]
+    rows = archive.read_mote_archive(spark, run.cold).orderBy("epoch").collect()
+    assert [(r["epoch"], r["timestamp"].year) for r in rows] == [(0, 2004), (1, 2004)]
+
+
+def test_archive_is_repaired_from_the_hot_store(run, spark):
+    put(run.topic, "a", message(1, 0), message(2, 1))
+    run()
+    other = run.cold + "2"
     for _ in range(2):
-        sinks.repair_archive(spark, sinks.hot_view(spark, run.hot), run.cold)
+        sinks.repair_archive(spark, sinks.hot_view(spark, run.hot), other)
+    run.cold = other
     assert run.archived() == [(1, 0, 20.0), (2, 1, 21.0)]
 
 
@@ -143,13 +186,16 @@ def test_dedup_stream(spark, tmp_path):
     put(topic, "a", message(1, 0), message(1, 0, temperature=5.0), message(1, 1))
 
     def go():
-        stream = jobs.deduplicated(messages.parse(messages.read_files(spark, topic)), "1 day")
-        jobs.to_files(stream, out, str(tmp_path / "cp")).awaitTermination()
-        return spark.read.parquet(out).count()
-
-    assert go() == 2
-    put(topic, "b", message(1, 1), message(1, 2))
-    assert go() == 3
+        stream = messages.read_files(spark, topic, files_per_batch=1)
+        jobs.write_deduplicated(stream, out, str(tmp_path / "cp")).awaitTermination()
+        rows = spark.read.parquet(out).select("mote_id", "event_time", "temperature").collect()
+        return sorted((r[1].year, r[1].minute, r[2]) for r in rows)
+
+    assert go() == [(2026, 0, 20.0), (2026, 1, 21.0)]
+    # far behind everything seen, and repeats of both batches
+    put(topic, "b", message(1, 1, temperature=9.0), message(1, 2), message(1, 3, updated_timestamp="2020-01-01T00:03:00"))
+    put(topic, "c", message(1, 3, updated_timestamp="2020-01-01T00:03:00", temperature=0.5))
+    assert go() == [(2020, 3, 23.0), (2026, 0, 20.0), (2026, 1, 21.0), (2026, 2, 22.0)]
 
 
 def test_minute_means(spark, tmp_path):
