@@ -179,7 +179,7 @@ def fit(docs, fit_rows=FIT_ROWS, dimensions=DIMENSIONS):
     langs = sorted(found)
     vectors = np.array(
         [np.concatenate([found[x][b] for b in sorted(found[x])]) for x in langs], np.float64
-    ).reshape(len(langs), -1)
+    ).reshape(len(langs), dimensions)
     return langs, vectors
 
 
