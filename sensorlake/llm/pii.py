@@ -42,7 +42,8 @@ _BYTE = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![\d.])(?:{_BYTE}\.){{3}}{_BYTE}(?!\.?\d)",
-    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d){5,10}(?!\d)",
+    "phone": r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
+    r"|[ .-]\d{1,4}(?:[ .-]\d{2,8}){1,3}|\d{6,12})(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}[\p{{Ll}}'-]+(?: \p{{Lu}}[\p{{Ll}}'-]+)?",
 }
