@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions import text, times
-from sensorlake.operators.sizes import small
 from sensorlake.operators.slices import ROWS_PER_SLICE, forward_fill
 from sensorlake.schemas import METRICS, MOTE_ID_RANGE, PHYSICS_BOUNDS, VALID_RANGES
 from sensorlake.session import written
@@ -98,16 +97,18 @@ def forward_fill_voltage(df, order=("timestamp", "epoch"), rows_per_slice=ROWS_P
     """Carry the last known voltage forward per mote."""
     timed = df.withColumn("_at", times.micros(F.col("timestamp")))
     return forward_fill(
-        timed, ["mote_id"], "_at", order, "voltage", rows_per_slice=rows_per_slice
+        timed, ["mote_id"], "_at", order, "voltage", None, rows_per_slice, order[1:]
     ).drop("_at")
 
 
-def first_known_voltage(df, order=("timestamp", "epoch"), across_motes=True):
+def first_known_voltage(
+    df, order=("timestamp", "epoch"), across_motes=True, rows_per_slice=ROWS_PER_SLICE
+):
     """One row per mote with its earliest voltage.
 
     With ``across_motes`` a mote that never reports takes the first value of the
-    next id that does. The table has one row per mote id, and ids are bounded by
-    ``valid_mote_ids``, so its ordered window stays small.
+    next id that does: a forward fill over the ids from the last to the first, which is
+    cut into slices of ids if there are many.
     """
     earliest = F.min_by(
         F.col("voltage"), F.when(F.col("voltage").isNotNull(), F.struct(*map(F.col, order)))
@@ -115,10 +116,10 @@ def first_known_voltage(df, order=("timestamp", "epoch"), across_motes=True):
     per_mote = df.groupBy("mote_id").agg(earliest.alias("first_voltage"))
     if not across_motes:
         return per_mote
-    onward = W.orderBy("mote_id").rowsBetween(0, W.unboundedFollowing)
-    return per_mote.withColumn(
-        "first_voltage", F.first("first_voltage", ignorenulls=True).over(onward)
-    )
+    backward = written(per_mote.withColumn("_at", -F.col("mote_id")), "first-voltages")
+    return forward_fill(
+        backward, [], "_at", ["_at"], "first_voltage", None, rows_per_slice
+    ).drop("_at")
 
 
 def fill_voltage(
@@ -129,10 +130,10 @@ def fill_voltage(
     After the forward fill only leading rows of a mote are null, so the value that
     follows is the mote's first, or the next mote's where it has none.
     """
-    first = first_known_voltage(df, order, cross_mote_backfill)
+    first = first_known_voltage(df, order, cross_mote_backfill, rows_per_slice)
     forward = forward_fill_voltage(df, order, rows_per_slice)
     return (
-        forward.join(small(first), "mote_id", "left")
+        forward.join(first, "mote_id", "left")
         .withColumn("voltage", F.coalesce("voltage", "first_voltage"))
         .select(*df.columns)
     )

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from sensorlake.functions import times
 from sensorlake.operators.clean import coerce_metrics, drop_empty, within_physics
 from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles, positions
-from sensorlake.schemas import FEATURES
+from sensorlake.schemas import FEATURES, METRICS
+from sensorlake.session import written
 
+#: Draws are numbers of 52 bits.
 HASHES = 1 << 52
 
 
@@ -42,14 +44,25 @@ def prepare_features(readings, keep=("mote_id",), rows_per_slice=ROWS_PER_SLICE)
 
     Rows without any metric and rows with impossible values are dropped; what is
     still missing becomes the column's median, ranked only for columns that need it.
+    A metric column that is absent altogether is left out. The rows are written once to
+    the shared folder: the source is read once, whatever follows.
     """
-    rows = within_physics(time_features(drop_empty(coerce_metrics(readings))))
-    rows = rows.select(*keep, *FEATURES)
-    holes = rows.agg(*[F.max(F.col(c).isNull()).alias(c) for c in FEATURES]).first()
-    missing = [c for c in FEATURES if holes[c]]
+    present = [m for m in METRICS if m in readings.columns]
+    if not present:
+        raise ValueError(f"none of the columns {METRICS} is there")
+    rows = within_physics(time_features(drop_empty(coerce_metrics(readings), present)))
+    columns = feature_columns(rows)
+    rows = written(rows.select(*keep, *columns), "features")
+    holes = rows.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
+    missing = [c for c in columns if holes[c]]
     return rows.fillna(medians(rows, missing, rows_per_slice)) if missing else rows
 
 
+def feature_columns(df):
+    """The feature columns that a frame has."""
+    return tuple(c for c in FEATURES if c in df.columns)
+
+
 def scaling(features, columns=FEATURES):
     """Row count, and mean and population deviation per column; a constant divides by 1."""
     row = features.agg(
@@ -75,7 +88,9 @@ def seeded_sample(df, n, key, seed=42, rows_per_slice=ROWS_PER_SLICE):
     the bound should ever leave too few, all rows are numbered. The key should be
     unique, as equal keys follow each other.
     """
-    hashed = df.withColumn("_draw", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(HASHES)))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    draw = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+    hashed = df.withColumn("_draw", draw)
     total = df.count()
     share = min(1.0, (n + 6 * n**0.5 + 100) / max(total, 1))
     candidates = hashed.filter(F.col("_draw") < int(share * HASHES))

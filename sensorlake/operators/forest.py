@@ -6,7 +6,7 @@ grow in parallel, one task group per tree; the finished forest is a small table
 nodes, which scoring ships to the tasks.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.scores import model_score, severity
-from sensorlake.operators.features import scaled, scaling
+from sensorlake.operators.features import feature_columns, scaled, scaling
 from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles
 from sensorlake.schemas import FEATURES
 from sensorlake.session import written
@@ -50,7 +50,7 @@ def mean_path(n):
     return np.where(n > 2, grown, np.where(n == 2, 1.0, 0.0))
 
 
-def tree_samples(rows, n_rows, key=None, n_trees=N_TREES, sample=SAMPLE, seed=SEED):
+def tree_samples(rows, n_rows, key, n_trees=N_TREES, sample=SAMPLE, seed=SEED):
     """Assign rows to trees and keep ``sample`` of them per tree.
 
     Trees are dealt out in rounds. In a round a row's hash picks at most one tree, so
@@ -58,7 +58,7 @@ def tree_samples(rows, n_rows, key=None, n_trees=N_TREES, sample=SAMPLE, seed=SE
     hashes stay. With many rows one round serves all trees; with few rows there are
     up to one round per tree, each over few rows.
     """
-    identity = [F.col(c) for c in key] if key else [F.monotonically_increasing_id()]
+    identity = [F.col(c) for c in key]
     expected = min(float(n_rows), OVERSAMPLE * sample)
     per_round = max(1, min(n_trees, int(n_rows / expected)))
     rounds = -(-n_trees // per_round)
@@ -175,8 +175,8 @@ def isolation_score(forest_nodes, sample, columns):
 
 def fit_scored(
     features,
-    key=None,
-    columns=FEATURES,
+    key,
+    columns=None,
     n_trees=N_TREES,
     sample=SAMPLE,
     contamination=CONTAMINATION,
@@ -185,33 +185,42 @@ def fit_scored(
 ):
     """Train on a feature frame; returns the forest and the training decisions.
 
-    ``key`` names columns that identify a row; with it the forest does not depend on
-    how the rows are partitioned. The node table that comes back to the driver has
+    ``key`` names columns that identify a row, so that the forest does not depend on how
+    the rows are partitioned or on a task that runs again. ``columns`` are the feature
+    columns that are there, if not given. The node table that comes back to the driver has
     at most n_trees * (2 * sample - 1) rows. The threshold is the exact quantile of
     the training scores at the contamination; scores are written once to the shared
     folder, since ranking reads them more than once.
     """
+    columns = tuple(columns or feature_columns(features))
     n_rows, scale = scaling(features, columns)
     if not n_rows:
         raise ValueError("no rows to train on")
-    extra = [c for c in key or [] if c not in columns]
+    extra = [c for c in key if c not in columns]
     rows = scaled(features.select(*extra, *columns), scale)
     size = min(sample, n_rows)
     samples = tree_samples(rows, n_rows, key, n_trees, size, seed)
     nodes = tuple(
         sorted(grow_forest(samples, columns, seed, size).collect(), key=lambda n: (n[0], n[1]))
     )
-    score = -isolation_score(nodes, size, columns)
+    return with_threshold(Forest(nodes, scale, 0.0, size, columns), rows, contamination, rows_per_slice)
+
+
+def with_threshold(forest, rows, contamination=CONTAMINATION, rows_per_slice=ROWS_PER_SLICE):
+    """The forest with the threshold that flags this share of scaled rows, and their
+    decisions."""
+    score = -isolation_score(forest.nodes, forest.sample, forest.columns)
     scores = written(rows.select(score.alias("score")), "scores")
     quantile = exact_quantiles(scores, [], "score", [contamination], rows_per_slice).first()
     offset = quantile["quantiles"][0]
-    forest = Forest(nodes, scale, offset, size, tuple(columns))
-    return forest, scores.select((F.col("score") - offset).alias("decision"))
+    return replace(forest, offset=offset), scores.select(
+        (F.col("score") - offset).alias("decision")
+    )
 
 
-def fit(features, **options):
+def fit(features, key, **options):
     """Train on a feature frame; see ``fit_scored``."""
-    return fit_scored(features, **options)[0]
+    return fit_scored(features, key, **options)[0]
 
 
 def decide(features, forest):

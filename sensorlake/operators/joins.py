@@ -3,13 +3,12 @@
 from pyspark.sql import functions as F
 
 from sensorlake.operators.clean import require_climate
-from sensorlake.operators.sizes import small
 from sensorlake.schemas import METRICS
 
 
 def with_location(readings, locations):
     """Readings with the position of their mote, null where it is unknown."""
-    return readings.join(small(locations), "mote_id", "left")
+    return readings.join(locations, "mote_id", "left")
 
 
 def location_of(locations, mote_id):

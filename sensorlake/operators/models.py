@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators import forest as forests
 from sensorlake.operators.features import prepare_features
+from sensorlake.schemas import FEATURES
 from sensorlake.sources.archive import recent_days
 
 MIN_ROWS = 100
@@ -93,23 +94,24 @@ def model_info(spark, base):
     )
 
 
-def train(spark, base, readings, trained_at=None, tag=None, key=None, **options):
+def train(spark, base, readings, key, trained_at=None, tag=None, **options):
     """Prepare, fit, measure and save; returns version, forest and metrics.
 
-    Fewer than 100 prepared rows are not trained on: the result is None and the
+    ``key`` names columns that identify a reading. Fewer than 100 prepared rows are not trained on: the result is None and the
     models in place stay.
     """
-    keep = tuple(k for k in dict.fromkeys(("mote_id", *(key or ()))) if k in readings.columns)
-    features = prepare_features(readings, keep)
+    from_rows = [k for k in dict.fromkeys(("mote_id", *key)) if k not in FEATURES]
+    features = prepare_features(readings, tuple(k for k in from_rows if k in readings.columns))
     if features.limit(MIN_ROWS).count() < MIN_ROWS:
         return None
-    forest, decided = forests.fit_scored(features, key=key, **options)
+    forest, decided = forests.fit_scored(features, key, **options)
     named = {k: options[k] for k in ("contamination", "n_trees") if k in options}
     metrics = forests.training_metrics(decided, forest, **named).first()
     version = save_model(spark, base, forest, metrics, trained_at, tag)
     return version, forest, metrics
 
 
-def retrain(spark, base, archive, as_of, days=3, tag="scheduled", **options):
+def retrain(spark, base, archive, as_of, key, days=3, tag="scheduled", **options):
     """Train on the archive's last days; only their folders are read."""
-    return train(spark, base, archive.filter(recent_days(as_of, days)), as_of, tag, **options)
+    recent = archive.filter(recent_days(as_of, days))
+    return train(spark, base, recent, key, as_of, tag, **options)

@@ -7,8 +7,6 @@ from sensorlake.operators.slices import ROWS_PER_SLICE, exact_quantiles, positio
 from sensorlake.operators.timeseries import of_top_motes
 from sensorlake.schemas import METRICS, VALID_RANGES
 
-TOP_ROWS = 10_000
-
 
 def long_metrics(readings, keys=()):
     """One row per reading and metric, nulls included."""
@@ -129,17 +127,20 @@ def field_stats(readings):
 
 
 def remap_check(readings, as_of, time="updated_timestamp"):
-    """Rows of today, of other days and of the future; passes without future rows."""
+    """Rows of today, of other days, of the future and without a readable time; passes if
+    there are rows and none of the last two kinds."""
     now, today = times.at(as_of), times.day(as_of.date())
     is_today = F.col(time).cast("date") == today
     future = F.count_if(F.col(time) > now)
-    return readings.filter(F.col(time).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    errors = F.count_if(F.col(time).isNull())
+    return readings.agg(
+        F.count(time).alias("n_rows"),
+        errors.alias("n_errors"),
         F.count_if(is_today).alias("n_today"),
         F.count_if(~is_today).alias("n_historical"),
         future.alias("n_future"),
-        F.countDistinct("mote_id").alias("n_motes"),
-        ((future == 0) & (F.count(F.lit(1)) > 0)).alias("passed"),
+        F.countDistinct(F.when(F.col(time).isNotNull(), F.col("mote_id"))).alias("n_motes"),
+        ((future == 0) & (errors == 0) & (F.count(time) > 0)).alias("passed"),
     )
 
 
@@ -173,17 +174,17 @@ def today_overview(readings, as_of, time="updated_timestamp"):
 
 
 def earliest_rows(readings, n, time="timestamp", ties=(), rows_per_slice=ROWS_PER_SLICE):
-    """The first n rows in time order.
+    """The first n rows in time order, in that order; ``ties`` are numbers.
 
-    A short list is a top-n; a long one would gather n rows of every task in one, so
-    there rows are numbered slice by slice instead.
+    Rows are numbered slice by slice, so no task gathers n rows of every other one, and
+    what is left is sorted by ranges.
     """
-    order = [time, *ties]
-    if n <= TOP_ROWS:
-        return readings.orderBy(*order).limit(n)
     timed = readings.withColumn("_at", times.micros(F.col(time)))
-    numbered = positions(timed, [], "_at", order, "_position", rows_per_slice)
-    return numbered.filter(F.col("_position") < n).select(*readings.columns)
+    numbered = positions(
+        timed, [], "_at", [time, *ties], "_position", rows_per_slice, ties
+    )
+    first = numbered.filter(F.col("_position") < n).orderBy("_position")
+    return first.select(*readings.columns)
 
 
 def display_rows(readings, n=200, order=("timestamp", "mote_id")):

@@ -6,8 +6,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions import text, times
-from sensorlake.operators.sizes import small
 from sensorlake.operators.slices import ROWS_PER_SLICE, positions, previous_time
+from sensorlake.session import written
 from sensorlake.sources.text import numbered_lines
 
 _MICRO = timedelta(microseconds=1)
@@ -21,15 +21,20 @@ def time_bounds(df, time):
 
 
 def split_time(df, time, fraction=0.8):
-    """The moment at a fraction of the time range, cut to whole microseconds."""
+    """The moment at a fraction of the time range, cut to whole microseconds; None
+    without rows."""
     first, last = time_bounds(df, time)
+    if first is None:
+        return None
     return first + int((last - first) / _MICRO * fraction) * _MICRO
 
 
 def range_split(df, time, fraction=0.8):
     """Rows up to the split moment, and rows after it."""
-    at = times.at(split_time(df, time, fraction))
-    return df.filter(F.col(time) <= at), df.filter(F.col(time) > at)
+    at = split_time(df, time, fraction)
+    if at is None:
+        return df.limit(0), df.limit(0)
+    return df.filter(F.col(time) <= times.at(at)), df.filter(F.col(time) > times.at(at))
 
 
 def shift_last_to(df, time, moment, into="updated_timestamp"):
@@ -116,6 +121,15 @@ def date_map(lines, as_of):
     )
 
 
+#: Dates that go to all tasks; a longer map is joined by shuffle.
+MOST_DATES = 100_000
+
+
+def _broadcast(dates):
+    dates = written(dates, "dates")
+    return F.broadcast(dates) if dates.count() <= MOST_DATES else dates
+
+
 def remap_incremental_lines(lines, as_of):
     """Move each recorded date to its own day from today on, keeping the time of day."""
     first = F.get("_t", F.lit(0))
@@ -124,7 +138,7 @@ def remap_incremental_lines(lines, as_of):
     return (
         text.with_tokens(lines)
         .withColumn("orig_date", date)
-        .join(F.broadcast(date_map(lines, as_of)), "orig_date", "left")
+        .join(_broadcast(date_map(lines, as_of)), "orig_date", "left")
         .withColumn("_new", new)
         .withColumn("line", _with_last_token(F.col("_new")))
         .withColumn("changed", F.col("_new").isNotNull())
@@ -135,6 +149,8 @@ def remap_incremental_lines(lines, as_of):
 def mapping_preview(dates, as_of, fraction=0.8):
     """Where each recorded date would go: the date at the fraction of the range is today."""
     first, last = time_bounds(dates, "date")
+    if first is None:
+        first = last = as_of.date()  # no rows: any anchor will do
     anchor = first + timedelta(days=int(((last - first).days + 1) * fraction))
     today = times.day(as_of.date())
     offset = F.date_diff(F.col("date"), times.day(anchor))
@@ -202,12 +218,12 @@ def replay_schedule(
     """
     timed = readings.withColumn("_at", times.micros(F.col("timestamp")))
     lagged = previous_time(
-        timed, ["mote_id"], "_at", "timestamp", order, "previous", rows_per_slice
+        timed, ["mote_id"], "_at", "timestamp", order, "previous", rows_per_slice, order[1:]
     )
     first = timed.groupBy("mote_id").agg(F.min("_at").alias("_first"))
     gap = (F.col("_at") - times.micros(F.col("previous"))) / 1_000_000
     return (
-        lagged.join(small(first), "mote_id", "left")
+        lagged.join(first, "mote_id", "left")
         .withColumn("gap_seconds", F.coalesce(gap, F.lit(0.0)))
         .withColumn("replay_seconds", (F.col("_at") - F.col("_first")) / 1_000_000 / speed)
         .drop("_at", "_first", "previous")

@@ -6,14 +6,12 @@ from sensorlake.functions import times
 from sensorlake.functions.scores import rule_alarm, rule_score, severity
 from sensorlake.operators.features import time_features
 from sensorlake.operators.forest import predict
-from sensorlake.schemas import METRICS
-
-DEFAULTS = {"temperature": 22.0, "humidity": 50.0, "light": 100.0, "voltage": 2.9}
+from sensorlake.schemas import METRICS, USUAL
 
 
 def with_default_metrics(readings):
     """Add a metric column that is absent altogether with its usual value."""
-    absent = {m: F.lit(v) for m, v in DEFAULTS.items() if m not in readings.columns}
+    absent = {m: F.lit(v) for m, v in USUAL.items() if m not in readings.columns}
     return readings.withColumns(absent) if absent else readings
 
 

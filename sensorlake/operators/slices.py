@@ -9,40 +9,48 @@ table with one row per slice. Keys below the limit stay whole.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sensorlake.session import written
+
 ROWS_PER_SLICE = 4_000_000
 BROADCAST_ROWS = 1_000_000
 PARTS = 1024
-LEVELS = 4
+#: Levels of cuts: each multiplies the slice number by 2,048, which a long holds five times.
+LEVELS = 5
 
 SLICE = "_slice"
 
 
-def cut(df, keys, at, rows_per_slice=ROWS_PER_SLICE):
+def cut(df, keys, at, rows_per_slice=ROWS_PER_SLICE, ties=()):
     """Add ``_slice``, which grows with the numeric column ``at`` within each key.
 
     Returns the frame and whether anything was cut. A level cuts the groups that are
     too large at approximate quantiles, so that a burst is cut as well as an even
     flow, into n / rows_per_slice parts, at most 1024; what is still too large is cut
-    again on the next level. Rows with equal ``at`` stay together. The cut points of a
-    level are broadcast: there are at most rows / rows_per_slice of them.
+    again on the next level. A group of one ``at`` is cut along ``ties``, numbers that
+    order equal rows; rows that are equal in all of them stay together. The cut points of
+    a level are broadcast: there are at most rows / rows_per_slice of them.
     """
-    keys = list(keys)
+    keys, columns = list(keys), [at, *ties]
     sliced = df.withColumn(SLICE, F.lit(0).cast("bigint"))
-    was_cut = False
-    for _ in range(LEVELS):
-        large = _too_large(sliced, keys, at, rows_per_slice).persist()
-        found = large.limit(BROADCAST_ROWS + 1).count()
+    level = 0
+    while columns:
+        large = written(_too_large(sliced, keys, columns[0], rows_per_slice), "large-groups")
+        found = large.count()
         if not found:
-            large.unpersist()
-            break
-        was_cut = True
-        large = F.broadcast(large) if found <= BROADCAST_ROWS else large
-        points = _cut_points(sliced.join(large, _same(keys)), keys, at).persist()
-        points = F.broadcast(points) if found <= BROADCAST_ROWS else points
+            columns.pop(0)
+            continue
+        if level == LEVELS:
+            raise ValueError(f"groups of more than {rows_per_slice} rows are left after all cuts")
+        level += 1
+        few = found <= BROADCAST_ROWS
+        large = F.broadcast(large) if few else large
+        points = _cut_points(sliced.join(large, _same(keys)), keys, columns[0])
+        points = written(points, "cut-points")
+        points = F.broadcast(points) if few else points
         sliced = sliced.join(points, _same(keys), "left").select(
-            *df.columns, (F.col(SLICE) * (2 * PARTS) + _part(at)).alias(SLICE)
+            *df.columns, (F.col(SLICE) * (2 * PARTS) + _part(columns[0])).alias(SLICE)
         )
-    return sliced, was_cut
+    return sliced, level > 0
 
 
 def _same(keys):
@@ -113,10 +121,12 @@ def _result(frame, source, into, value):
     return frame.select(*kept, value.alias(into))
 
 
-def forward_fill(df, keys, at, order, column, into=None, rows_per_slice=ROWS_PER_SLICE):
+def forward_fill(
+    df, keys, at, order, column, into=None, rows_per_slice=ROWS_PER_SLICE, ties=()
+):
     """Last non-null value of ``column`` so far, per key in the given order."""
     keys, into, order = list(keys), into or column, _columns(order)
-    sliced, was_cut = cut(df, keys, at, rows_per_slice)
+    sliced, was_cut = cut(df, keys, at, rows_per_slice, ties)
     here = F.last(column, ignorenulls=True).over(
         W.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
@@ -134,10 +144,10 @@ def forward_fill(df, keys, at, order, column, into=None, rows_per_slice=ROWS_PER
     return _result(joined, df, into, F.coalesce("_here", "_carry"))
 
 
-def previous_time(df, keys, at, time, order, into, rows_per_slice=ROWS_PER_SLICE):
+def previous_time(df, keys, at, time, order, into, rows_per_slice=ROWS_PER_SLICE, ties=()):
     """The time of the row before, per key; ``order`` starts with ``time``."""
     keys, order = list(keys), _columns(order)
-    sliced, was_cut = cut(df, keys, at, rows_per_slice)
+    sliced, was_cut = cut(df, keys, at, rows_per_slice, ties)
     here = F.lag(time).over(W.partitionBy(*keys, SLICE).orderBy(*order))
     lagged = sliced.withColumn("_here", here)
     if not was_cut:
@@ -152,10 +162,10 @@ def previous_time(df, keys, at, time, order, into, rows_per_slice=ROWS_PER_SLICE
     return _result(joined, df, into, F.coalesce("_here", "_carry"))
 
 
-def positions(df, keys, at, order, into, rows_per_slice=ROWS_PER_SLICE):
+def positions(df, keys, at, order, into, rows_per_slice=ROWS_PER_SLICE, ties=()):
     """Zero-based position of each row within its key; without keys, within the table."""
     keys, order = list(keys), _columns(order)
-    sliced, was_cut = cut(df, keys, at, rows_per_slice)
+    sliced, was_cut = cut(df, keys, at, rows_per_slice, ties)
     here = F.row_number().over(W.partitionBy(*keys, SLICE).orderBy(*order)).cast("bigint") - 1
     numbered = sliced.withColumn("_here", here)
     if not was_cut:

@@ -1,5 +1,7 @@
 """Queries of the hot store: ranges, summaries, latest values, top motes."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sensorlake.functions import times
@@ -146,17 +148,8 @@ def _summary_sql(metric, where):
 )
 def metric_summary(spark, sf_dir):
     points, as_of = _args(spark, sf_dir)
-    found = timeseries.select_points(points, as_of, "-24h")
-    return (
-        found.filter(F.col("_field").isin(*METRICS))
-        .groupBy(F.col("_field").alias("metric"))
-        .agg(
-            F.round(F.avg("_value"), 4).alias("mean"),
-            F.round(F.min("_value"), 4).alias("min"),
-            F.round(F.max("_value"), 4).alias("max"),
-            F.count("_value").alias("count"),
-        )
-    )
+    each = [timeseries.metric_summary(points, m, as_of, "-24h") for m in METRICS]
+    return reduce(lambda a, b: a.unionByName(b), each)
 
 
 @query(

@@ -3,6 +3,7 @@
 The stream source is a folder of message files that Spark writes from the events.
 """
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions import times
@@ -17,8 +18,11 @@ from sensorlake.session import scratch_path
 from sensorlake.sources.archive import read_mote_archive
 from sensorlake.streaming import jobs, messages
 from sensorlake.streaming.sinks import (
+    REPORT,
     DualSink,
+    batch_folder,
     hot_view,
+    load_report,
     read_hot,
     repair_archive,
 )
@@ -147,6 +151,77 @@ def _ingested(spark, sf_dir):
     return hot, cold, rejects, sink
 
 
+def _four_files(spark, sf_dir, order):
+    """The messages in four files, by event id; files come in the order they are written."""
+    path = scratch_path(spark, "topic")
+    for part in range(4):
+        sent = _sent(spark, sf_dir).filter(F.col("event_id") % 4 == part).coalesce(1)
+        messages.write_files(sent, path, order)
+    return path
+
+
+@query(
+    "t1_micro_batches",
+    f"""SELECT row_number() OVER (ORDER BY p) - 1 AS batch, n AS n_read FROM
+        (SELECT event_id % 4 AS p, count(*) AS n FROM {_PARSED} GROUP BY 1)""",
+)
+def micro_batches(spark, sf_dir):
+    """A backlog is taken in batches of bounded size, in order."""
+    path, topic = scratch_path(spark, "batches"), _four_files(spark, sf_dir, ("key", "event_id"))
+
+    def write(rows, batch, source):
+        counted = rows.agg(F.count(F.lit(1)).alias("n_read"))
+        counted.write.mode("overwrite").parquet(batch_folder(path, source, batch))
+
+    stream = messages.parse(messages.read_files(spark, topic, files_per_batch=1))
+    checkpoint = scratch_path(spark, "checkpoint")
+    jobs.each_batch(stream, write, checkpoint, jobs.UNTIL_CAUGHT_UP).awaitTermination()
+    return spark.read.schema(REPORT).parquet(path).select("batch", "n_read")
+
+
+@query(
+    "t6_order_per_mote",
+    f"""SELECT key, count(*) AS n_messages, 0 AS n_out_of_order FROM
+        (SELECT CASE WHEN event_id % 37 > 0 THEN CAST(user_id % {MOTES} + 1 AS VARCHAR) END AS key,
+          unnest([0, 1]) AS copy, event_id FROM events) WHERE (copy = 0 OR event_id % 29 = 0)
+          AND event_id % 31 > 0 GROUP BY 1""",
+)
+def order_per_mote(spark, sf_dir):
+    """Messages of a mote stand in event order in every file; those cut off have no epoch."""
+    path = _four_files(spark, sf_dir, ("key", "event_id", "copy"))
+    body = F.from_json("value", messages.MESSAGE)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("place"),
+        body.alias("m"),
+    )
+    known = lines.filter("m.epoch is not null").select("file", "place", "m.mote_id", "m.epoch")
+    before = F.lag("epoch").over(W.partitionBy("file", "mote_id").orderBy("place"))
+    ordered = known.withColumn("late", F.coalesce(before > F.col("epoch"), F.lit(False)))
+    return ordered.groupBy(F.col("mote_id").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).alias("n_messages"), F.count_if("late").alias("n_out_of_order")
+    )
+
+
+_N_VALUES = " + ".join(f"count({m}) FILTER (reject IS NULL)" for m in METRICS)
+
+
+@query(
+    "a33_load_report",
+    f"""SELECT 2 AS n_batches, count(*) AS n_read, {_N_VALUES} AS n_points,
+        count(*) FILTER (event_id % 31 > 0 AND mote_id IS NOT NULL AND event_time IS NOT NULL)
+          AS n_archive_rows, count(reject) AS n_skipped, 0 AS n_failed FROM {_PARSED}""",
+)
+def load_totals(spark, sf_dir):
+    """What a load read, sent to both stores and skipped."""
+    hot, cold, reports = (scratch_path(spark, n) for n in ("hot", "archive", "reports"))
+    topic = _four_files(spark, sf_dir, ("key", "event_id", "copy"))
+    stream = messages.read_files(spark, topic, files_per_batch=2)
+    sink = DualSink(hot, cold, reports=reports)
+    jobs.ingest(stream, sink, scratch_path(spark, "checkpoint")).awaitTermination()
+    return load_report(spark.read.schema(REPORT).parquet(reports))
+
+
 @query(
     "t2_dual_write",
     f"""SELECT mote_id, epoch, updated_timestamp, {_METRICS} FROM {_COLD}""",

@@ -240,17 +240,21 @@ _NOW = "(SELECT min(updated_timestamp) + INTERVAL 20 DAY FROM sparse)"
 @query(
     "a16_remap_check",
     sql(
-        f"""SELECT count(*) AS n_rows,
+        f"""SELECT count(updated_timestamp) AS n_rows, count(*) - count(updated_timestamp) AS n_errors,
             count(*) FILTER (CAST(updated_timestamp AS DATE) = CAST({_NOW} AS DATE)) AS n_today,
             count(*) FILTER (CAST(updated_timestamp AS DATE) <> CAST({_NOW} AS DATE)) AS n_historical,
             count(*) FILTER (updated_timestamp > {_NOW}) AS n_future,
-            count(DISTINCT mote_id) AS n_motes,
-            count(*) FILTER (updated_timestamp > {_NOW}) = 0 AND count(*) > 0 AS passed FROM sparse""",
+            count(DISTINCT mote_id) FILTER (updated_timestamp IS NOT NULL) AS n_motes,
+            count(*) FILTER (updated_timestamp > {_NOW} OR updated_timestamp IS NULL) = 0
+              AND count(*) > 0 AS passed
+            FROM (SELECT mote_id, CASE WHEN epoch % 7 > 0 THEN updated_timestamp END
+              AS updated_timestamp FROM sparse)""",
         "sparse",
     ),
 )
 def remap_check(spark, sf_dir):
-    rows = tables.sparse(spark, sf_dir)
+    moved = F.when(F.col("epoch") % 7 > 0, F.col("updated_timestamp"))
+    rows = tables.sparse(spark, sf_dir).withColumn("updated_timestamp", moved)
     first = tables.table(spark, sf_dir, "events").agg(F.min("ts")).first()[0]
     return profile.remap_check(rows, first + tables.MOVED + timedelta(days=20))
 
@@ -322,7 +326,24 @@ def systematic_sample(spark, sf_dir):
     return profile.systematic_sample(events, "event_id", ["event_id"], every=2500)
 
 
-@query("l7_seeded_sample")
+@query(
+    "l6_first_rows",
+    sql(
+        f"""SELECT {_ALL} FROM dense
+            ORDER BY "timestamp", mote_id, temperature, humidity, voltage LIMIT 200""",
+        "dense",
+    ),
+)
+def first_rows(spark, sf_dir):
+    ties = ("mote_id", "temperature", "humidity", "voltage")
+    return profile.earliest_rows(tables.dense(spark, sf_dir), 200, "timestamp", ties)
+
+
+@query(
+    "l7_seeded_sample",
+    """SELECT event_id, user_id, value FROM events
+       ORDER BY substr(md5('42|' || event_id), 1, 13), event_id LIMIT 500""",
+)
 def seeded_sample(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     return features.seeded_sample(events, 500, ["event_id"])

@@ -253,7 +253,8 @@ def promoted_columns(spark, sf_dir):
     rows = tables.sparse(spark, sf_dir)
     first = rows.select("mote_id", "timestamp", "temperature")
     second = rows.select("mote_id", "timestamp", "humidity")
-    return first.unionByName(second, allowMissingColumns=True)
+    both = archive.combined_readings(first, second)
+    return both.select("mote_id", "timestamp", "humidity", "temperature")
 
 
 @query(

@@ -142,8 +142,9 @@ _CUT = """(SELECT make_timestamp(epoch_us(min(ts)) + CAST(floor((epoch_us(max(ts
 )
 def range_split(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events").select("event_id", "ts")
-    at = times.at(remap.split_time(events, "ts"))
-    return events.select("event_id", (F.col("ts") <= at).alias("historical"))
+    parts = remap.range_split(events, "ts")
+    named = [p.select("event_id", F.lit(h).alias("historical")) for p, h in zip(parts, (True, False))]
+    return named[0].unionByName(named[1])
 
 
 _HIST = f"(SELECT * FROM events WHERE ts <= {_CUT})"

@@ -105,4 +105,16 @@ RULES = {
 RULE_ALARM = 0.3
 SEVERITY = (("critical", 0.65), ("warning", 0.5))
 
+# Usual values for a metric column that is absent from a scan.
+USUAL = {"temperature": 22.0, "humidity": 50.0, "light": 100.0, "voltage": 2.9}
+
+# Readings that a model is probed with: name and the four metrics.
+PROBES = (
+    ("normal_1", 22.5, 55.0, 300.0, 2.9),
+    ("normal_2", 20.0, 60.0, 200.0, 3.0),
+    ("normal_3", 25.0, 50.0, 400.0, 2.8),
+    ("zeros", 0.0, 0.0, 0.0, 0.0),
+    ("extreme", 95.0, 2.0, 0.0, 0.1),
+)
+
 FEATURES = (*METRICS, "hour", "day_of_week")

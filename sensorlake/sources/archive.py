@@ -130,7 +130,8 @@ def combined_readings(*archives):
     names = READING.fieldNames()
     typed = [a.select(*[c for c in names if c in a.columns]) for a in archives]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), typed)
-    return merged.select(*names)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in READING if f.name not in merged.columns}
+    return merged.withColumns(absent).select(*names)
 
 
 def file_key(column):

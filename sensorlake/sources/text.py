@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import text, times
 from sensorlake.schemas import LOCATION, METRICS
+from sensorlake.session import written
 
 UNKNOWN = "?"
 TRAINING_NULLS = ("N/A", "nan", "")
 REQUIRED_COLUMNS = ("date", "updated_timestamp", "mote_id", "temperature", "humidity")
 
+#: File blocks whose starts go to all tasks; more are joined by shuffle.
+MOST_BLOCKS = 1_000_000
+
 _NAN = r"(?i)^[+-]?nan$"
 
 
@@ -44,9 +48,13 @@ def numbered_lines(spark, path):
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     before = W.orderBy(*block).rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(
-        *block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    starts = written(
+        sizes.select(
+            *block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+        ),
+        "blocks",
     )
+    starts = F.broadcast(starts) if starts.count() <= MOST_BLOCKS else starts
     return lines.join(starts, block).select(
         "line", (F.col("_start") + F.col("_id") - F.col("_first")).alias("position")
     )
@@ -170,11 +178,9 @@ def read_readings(spark, path):
     return parse_readings(read_lines(spark, path))
 
 
-def read_training(spark, path, max_rows=0):
-    """The first ``max_rows`` lines in file order; 0 means all."""
-    if not max_rows:
-        return parse_training(read_lines(spark, path))
-    return parse_training(numbered_lines(spark, path).filter(F.col("position") < max_rows))
+def read_training(spark, path):
+    """All lines of the training form; ``features.seeded_sample`` takes a part of them."""
+    return parse_training(read_lines(spark, path))
 
 
 def read_ragged(spark, path, extra_tokens=False):

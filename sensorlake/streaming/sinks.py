@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from sensorlake.operators.dedup import first_per_key, last_per_point
 from sensorlake.operators.joins import unseen
 from sensorlake.operators.timeseries import to_points, to_readings
-from sensorlake.schemas import MOTE_ARCHIVE, PARTITIONS, POINT
+from sensorlake.schemas import METRICS, MOTE_ARCHIVE, PARTITIONS, POINT
 from sensorlake.session import written
 from sensorlake.sources.archive import (
     delete_files,
@@ -142,12 +142,13 @@ class DualSink:
 
     A failing hot write fails the batch, so its offsets are not committed and it is
     replayed. A failing archive write is logged, and the batch's archive rows wait below
-    the hot store until ``retry_pending`` appends them.
+    the hot store until ``retry_pending`` appends them. ``reports`` is a folder for one
+    row per batch: what was read, written per store, skipped and failed.
     """
 
-    def __init__(self, hot, archive, rejects=None, cold_only=False):
+    def __init__(self, hot, archive, rejects=None, cold_only=False, reports=None):
         self.hot, self.archive, self.rejects = hot, archive, rejects
-        self.cold_only = cold_only
+        self.cold_only, self.reports = cold_only, reports
 
     def __call__(self, parsed, batch, source):
         spark = parsed.sparkSession
@@ -160,19 +161,56 @@ class DualSink:
             if self.rejects:
                 write_rejects(messages.rejected(parsed), self.rejects, source, batch)
             rows = messages.to_archive_rows(parsed)
+            failed = False
             try:
                 archive_new(spark, rows, self.archive)
             except Exception:
+                failed = True
                 logger.exception("archive write of batch %s of %s failed", batch, source)
                 if self.cold_only:
                     raise
                 rows.withColumn("arrival", F.to_json(F.struct("arrival"))).write.mode(
                     "overwrite"
                 ).parquet(batch_folder(f"{self.hot}/{PENDING}", source, batch))
+            if self.reports:
+                report = batch_report(parsed, self.cold_only, failed)
+                report.write.mode("overwrite").parquet(batch_folder(self.reports, source, batch))
         finally:
             parsed.unpersist()
 
 
+REPORT = (
+    "n_read long, n_points long, n_archive_rows long, n_skipped long, n_failed long, "
+    "source string, batch long"
+)
+
+
+def batch_report(parsed, cold_only=False, failed=False):
+    """One row: messages read, points sent, archive rows sent (equal keys are written
+    once), messages skipped, and archive rows that failed."""
+    points = sum((F.col(m).isNotNull().cast("int") for m in METRICS), F.lit(0))
+    ok = F.col("reject").isNull()
+    kept = F.col("mote_id").isNotNull() & F.col("event_time").isNotNull()
+    none = F.lit(0).cast("long")
+    n_rows = F.count_if(kept)
+    return parsed.agg(
+        F.count(F.lit(1)).alias("n_read"),
+        (none if cold_only else F.coalesce(F.sum(F.when(ok, points)), none)).alias("n_points"),
+        (none if failed else n_rows).alias("n_archive_rows"),
+        F.count_if(~ok).alias("n_skipped"),
+        (n_rows if failed else none).alias("n_failed"),
+    )
+
+
+def load_report(reports):
+    """Totals of a load over its batches."""
+    names = ("n_read", "n_points", "n_archive_rows", "n_skipped", "n_failed")
+    return reports.agg(
+        F.count(F.lit(1)).alias("n_batches"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+    )
+
+
 def retry_pending(spark, hot, archive_path):
     """Append the archive rows of batches whose archive write failed, then forget them.
 

@@ -226,7 +226,10 @@ def test_reports(spark):
         (2, "2026-02-10 12:00:00.1", 20.0, 50.0, None, None),
     )
     check = profile.remap_check(df, AS_OF, "timestamp").first()
-    assert tuple(check) == (3, 2, 1, 1, 2, False)
+    assert tuple(check) == (3, 0, 2, 1, 1, 2, False)
+    unread = df.withColumn("timestamp", F.when(F.col("mote_id") < 0, F.col("timestamp")))
+    check = profile.remap_check(unread, AS_OF, "timestamp").first()
+    assert (check["n_rows"], check["n_errors"], check["passed"]) == (0, df.count(), False)
     assert profile.remap_check(df.limit(0), AS_OF, "timestamp").first()["passed"] is False
     outside = {r["field"]: (r["n"], r["n_outside"]) for r in profile.out_of_range(df).collect()}
     assert outside["temperature"] == (3, 1) and outside["voltage"] == (2, 1)
@@ -262,3 +265,11 @@ def test_location_lookup(spark):
 def test_mote_count(spark):
     df = spark.range(200).selectExpr("id % 43 as mote_id")
     assert tuple(timeseries.mote_count_check(df).first()) == (43, True)
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "ts timestamp_ntz, date date")
+    assert remap.split_time(df, "ts") is None
+    assert [part.count() for part in remap.range_split(df, "ts")] == [0, 0]
+    assert [part.count() for part in remap.to_present(df, "ts", AS_OF)] == [0, 0]
+    assert remap.mapping_preview(df.select("date"), AS_OF).count() == 0

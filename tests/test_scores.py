@@ -175,14 +175,14 @@ def test_versions(spark, tmp_path):
     df = training(spark, 400).withColumn("mote_id", F.lit(1))
     assert models.load_latest(spark, base) is None
     assert models.model_info(spark, base).first()["fallback_mode"]
-    first, trained, _ = models.train(spark, base, df, datetime(2026, 1, 1), n_trees=10, key=["row"])
-    second, _, _ = models.train(spark, base, df, datetime(2026, 1, 2), tag="x", n_trees=10)
+    first, trained, _ = models.train(spark, base, df, ["row"], datetime(2026, 1, 1), n_trees=10)
+    second, _, _ = models.train(spark, base, df, ["row"], datetime(2026, 1, 2), "x", n_trees=10)
     assert (first, second) == ("20260101_000000", "20260102_000000_x")
     info = models.model_info(spark, base).first()
     assert (info["n_models"], info["latest"], info["fallback_mode"]) == (2, second, False)
     loaded = models.load_model(spark, f"{base}/models/version={first}")
     assert loaded.offset == trained.offset and len(loaded.nodes) == len(trained.nodes)
-    assert models.train(spark, base, df.limit(99), datetime(2026, 1, 3)) is None
+    assert models.train(spark, base, df.limit(99), ["row"], datetime(2026, 1, 3)) is None
     assert models.registry(spark, base).count() == 2
 
 
@@ -219,3 +219,15 @@ def test_seeded_sample(spark):
     assert drawn(df, 2000) == list(range(1000))
     large = drawn(spark.range(20_000), 500)
     assert len(large) == 500 and 8000 < sum(large) / 500 < 12_000
+
+
+def test_absent_metric_column(spark, tmp_path):
+    df = training(spark, 400).drop("light")
+    prepared = features.prepare_features(df, ("row",))
+    assert "light" not in prepared.columns
+    version, trained, _ = models.train(
+        spark, str(tmp_path / "m"), df, ["row"], datetime(2026, 1, 1), n_trees=5
+    )
+    assert trained.columns == tuple(c for c in FEATURES if c != "light")
+    with pytest.raises(ValueError):
+        features.prepare_features(df.select("row"), ())

@@ -109,6 +109,33 @@ def test_exact_quantile_of_copies(spark):
         assert np.allclose(got, expected)
 
 
+@pytest.mark.parametrize("limit", [7, 10_000])
+def test_one_instant_is_cut_by_the_next_column(spark, limit):
+    df = spark.range(300).selectExpr("cast(1 as int) as key", "7L as at", "id", "if(id % 40 = 3, id, null) as value")
+    sliced, was_cut = slices.cut(df, ["key"], "at", limit, ["id"])
+    sizes = sliced.groupBy("_slice").count().toPandas()["count"]
+    assert was_cut == (limit == 7) and sizes.max() <= max(35, limit)
+    order = ["at", "id"]
+    filled = slices.forward_fill(df, ["key"], "at", order, "value", None, limit, ["id"])
+    expected = [(i, max((v for v in range(3, i + 1, 40)), default=None)) for i in range(300)]
+    assert sorted((r["id"], r["value"]) for r in filled.collect()) == expected
+    numbered = slices.positions(df, [], "at", order, "p", limit, ["id"]).collect()
+    assert all(r["p"] == r["id"] for r in numbered)
+    before = slices.previous_time(df, ["key"], "at", "at", order, "prev", limit, ["id"]).collect()
+    assert all(r["prev"] == (7 if r["id"] else None) for r in before)
+
+
+def test_earliest_rows_are_in_order(spark):
+    df = spark.range(500).selectExpr(
+        "cast(timestamp'2024-01-01' as timestamp_ntz) + make_dt_interval(0, 0, int(id % 2)) as timestamp",
+        "id * 7 % 500 as mote_id",
+    )
+    expected = sorted((r["timestamp"], r["mote_id"]) for r in df.collect())
+    for n in (3, 300, 900):
+        got = profile.earliest_rows(df, n, "timestamp", ("mote_id",), 40).collect()
+        assert [tuple(r) for r in got] == expected[:n]
+
+
 def test_position_split_and_sample(spark):
     df = spark.range(1000).selectExpr("id", "id * 3 as at")
     first, rest = remap.position_split(df, "at", ["at"], 0.8, 64)

@@ -9,9 +9,9 @@ from sensorlake.operators import clean
 from sensorlake.sources import text
 from pyspark.sql import functions as F
 
-FULL = "2004-02-28 00:59:16.02785 3 1 19.9884 37.0933 45.08 2.69964 2026-01-17T00:59:16.027850"
-SPARSE = "2004-02-28 00:58:15.315133 1 2026-01-19T19:03:19.891610"
-EIGHT = "2004-02-28 00:58:46.002832 65333 28 19.0 19.7336 37.0933 71.76"
+FULL = "2004-02-28 00:59:16.02785 3 1 21.25 41.5 130.0 2.5 2026-01-17T00:59:16.027850"
+SPARSE = "2004-03-05 11:12:13.141516 1 2026-03-07T11:12:13.141516"
+EIGHT = "2004-03-05 11:13:14.001002 65333 28 19.0 18.5 40.25 66.5"
 
 
 def frame(spark, *lines):
@@ -29,7 +29,7 @@ def test_full_line(spark):
     assert row["mote_id"] == 1.0 and row["epoch"] == 3
     assert row["timestamp"] == datetime(2004, 2, 28, 0, 59, 16, 27850)
     assert row["updated_timestamp"] == datetime(2026, 1, 17, 0, 59, 16, 27850)
-    assert (row["temperature"], row["voltage"]) == (19.9884, 2.69964)
+    assert (row["temperature"], row["voltage"]) == (21.25, 2.5)
 
 
 def test_sparse_line(spark):
@@ -37,7 +37,7 @@ def test_sparse_line(spark):
     ragged = one(text.parse_ragged(lines))
     assert ragged["reject"] is None and ragged["mote_id"] == 1
     assert ragged["temperature"] is None
-    assert ragged["updated_text"] == "2026-01-19T19:03:19.891610"
+    assert ragged["updated_text"] == "2026-03-07T11:12:13.141516"
     assert one(text.parse_readings(lines))["mote_id"] is None
 
 
@@ -66,13 +66,13 @@ def test_unknown_metrics(spark):
 
 @pytest.mark.parametrize("token", ["19.x", "1d", "0x1p3", "--1"])
 def test_bad_number(spark, token):
-    lines = frame(spark, FULL.replace("19.9884", token))
+    lines = frame(spark, FULL.replace("21.25", token))
     assert one(text.parse_ragged(lines))["reject"] == "metric"
     assert one(text.parse_readings(lines))["temperature"] is None
 
 
 def test_nan_is_null(spark):
-    lines = frame(spark, FULL.replace("19.9884", "NaN"))
+    lines = frame(spark, FULL.replace("21.25", "NaN"))
     row = one(text.parse_ragged(lines))
     assert row["reject"] is None and row["temperature"] is None
     assert one(text.parse_readings(lines))["temperature"] is None
@@ -122,12 +122,10 @@ def test_iso_offsets(spark):
     assert rows[1][1] == datetime(2026, 1, 17, 1, 59, 16, 500000)
 
 
-def test_training_cap(spark, tmp_path):
+def test_training_lines(spark, tmp_path):
     path = tmp_path / "t.txt"
     path.write_text("\n".join(FULL.replace(" 3 1 ", f" {i} 1 ") for i in range(5)) + "\n")
     assert text.read_training(spark, str(path)).count() == 5
-    capped = text.read_training(spark, str(path), 2).collect()
-    assert sorted(r["epoch"] for r in capped) == [0, 1]
 
 
 def test_locations(spark, tmp_path):
@@ -139,11 +137,11 @@ def test_locations(spark, tmp_path):
 def test_csv_columns(spark, tmp_path):
     good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
     head = "date,time,epoch,{},temperature,humidity,light,voltage,updated_timestamp\n"
-    row = "2004-02-28,00:59:16.02785,3,1,19.98,37.09,x,2.69,2026-01-17T00:59:16.027850\n"
+    row = "2004-02-28,00:59:16.02785,3,1,21.25,41.5,x,2.5,2026-01-17T00:59:16.027850\n"
     good.write_text(head.format("mote_id") + row)
     bad.write_text(head.format("moteid") + row)
     typed = one(text.csv_readings(text.read_csv(spark, str(good))))
-    assert typed["temperature"] == 19.98 and typed["light"] is None
+    assert typed["temperature"] == 21.25 and typed["light"] is None
     with pytest.raises(ValueError, match="mote_id"):
         text.read_csv(spark, str(bad))
 
@@ -159,7 +157,7 @@ def test_dates_of_both_formats(spark, tmp_path):
 def test_written_text_reads_back(spark, tmp_path):
     path = str(tmp_path / "out")
     rows = clean.valid_mote_ids(
-        text.parse_readings(frame(spark, FULL, FULL.replace("37.0933", "?")))
+        text.parse_readings(frame(spark, FULL, FULL.replace("41.5", "?")))
     )
     text.write_readings(rows, path)
     again = clean.valid_mote_ids(text.read_readings(spark, path))
