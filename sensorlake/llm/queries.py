@@ -90,7 +90,89 @@ def op5_token_files(spark, sf_dir):
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), path))
 
 
-@query()
+def _op4_sql():
+    """The counts, the votes, and the rounds of the estimation as a recursive query."""
+    space, n = r"\x20\x09-\x0D", 9
+    marks = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+    functions = ", ".join(f"'{w}'" for w in quality.FUNCTION_WORDS)
+    repeated = f"""SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (
+        SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (
+          SELECT *, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM (
+            SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d))
+        WHERE times > 1) GROUP BY 1"""
+
+    def vote(good, bad):
+        return f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END"
+
+    length = "(word_chars / greatest(n_words, 1))"
+    votes = [
+        vote("n_words >= 80", "n_words < 20"),
+        vote(f"{length} BETWEEN 3.5 AND 8.0", f"{length} < 2.5 OR {length} > 12.0"),
+        vote("50 * n_symbols < n_words", "10 * n_symbols > n_words"),
+        vote("50 * n_bare < n_words", "10 * n_bare > n_words"),
+        vote("n_function >= 3", "n_function = 0 AND n_words >= 30"),
+        vote("10 * n_dup_lines <= n_breaks", "3 * n_dup_lines > n_breaks + 1"),
+        vote("4 * n_repeat_words < n_words", "5 * n_repeat_words > 2 * n_words"),
+        vote("10 * n_upper < word_chars", "2 * n_upper > word_chars"),
+        vote("10 * n_marks < n_words", "2 * n_marks > n_words"),
+    ]
+    places = [(j, v) for j in range(n) for v in (-1, 0, 1)]
+
+    def name(kind, j, v):
+        return f"{kind}{j}_{v + 1}"
+
+    def product(kind):
+        return " * ".join(
+            f"CASE v{j} WHEN 1 THEN {name(kind, j, 1)} WHEN 0 THEN {name(kind, j, 0)}"
+            f" ELSE {name(kind, j, -1)} END"
+            for j in range(n)
+        )
+
+    def bounded(x):
+        return f"least({1 - quality.MARGIN}::DOUBLE, greatest({quality.MARGIN}::DOUBLE, {x}))"
+
+    def start(kind, shares):
+        return ", ".join(f"{shares[v + 1]}::DOUBLE AS {name(kind, j, v)}" for j, v in places)
+
+    share = bounded("sum(n * p) / sum(n)")
+    again = [
+        bounded(f"sum(CASE WHEN v{j} = {v} THEN n * {w} ELSE 0 END) / ({s} * sum(n))")
+        for w, s in (("p", share), ("(1 - p)", f"(1 - {share})"))
+        for j, v in places
+    ]
+    p = f"share * {product('g')} / (share * {product('g')} + (1 - share) * {product('b')})"
+    pattern = ", ".join(f"v{j}" for j in range(n))
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^{space}]+') AS w FROM documents),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{space}]'))
+    AS lines FROM d),
+r AS ({repeated}),
+c AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    length(text) - length(replace(text, chr(10), '')) AS n_breaks,
+    len(regexp_extract_all(text, '[A-Z]')) AS n_upper,
+    len(regexp_extract_all(text, '[!?|]')) AS n_marks,
+    len(list_filter(w, lambda x: regexp_full_match(x, '{marks}'))) AS n_bare,
+    len(list_intersect(list_distinct(w), [{functions}])) AS n_function
+  FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, {", ".join(f"{x} AS v{j}" for j, x in enumerate(votes))} FROM c),
+pat AS (SELECT {pattern}, CAST(count(*) AS DOUBLE) AS n FROM v GROUP BY ALL),
+em AS (SELECT 0 AS i, {quality.START_SHARE}::DOUBLE AS share, {start('g', quality.START_ON_GOOD)},
+    {start('b', quality.START_ON_BAD)}
+  UNION ALL SELECT i + 1, {share}, {", ".join(again)}
+  FROM (SELECT *, {p} AS p FROM em, pat WHERE i < {quality.ROUNDS}) GROUP BY i),
+j AS (SELECT v.*, {p} AS p, n_words < {quality.MIN_WORDS}
+    OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed
+  FROM v, em WHERE i = {quality.ROUNDS})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND p >= {quality.KEEP} AS kept FROM j"""
+
+
+@query(_op4_sql())
 def op4_quality(spark, sf_dir):
     """Counts of every document and the verdict of the learned rules."""
     return quality.verdicts(table(spark, sf_dir, "documents")).drop("posterior", "votes")
