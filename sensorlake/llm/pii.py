@@ -40,7 +40,8 @@ TITLES = {
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 FORMS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    # possessive, as a repeated group would otherwise need the stack of a long text
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?<![\d.])(?:{_BYTE}\.){{3}}{_BYTE}(?!\.?\d)",
     "phone": r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|[ .-]\d{1,4}(?:[ .-]\d{2,8}){1,3}|\d{6,12})(?!\d)",

@@ -114,6 +114,13 @@ def test_odd_texts(odd, no_docs):
     assert pii.surrogates(no_docs).count() == 0
 
 
+def test_long_values(spark):
+    texts = ["x@" + "a." * 60_000 + "a", "1" * 100_000, "+1" + " 22" * 50_000, "1.2." * 50_000]
+    rows = list(enumerate(texts))
+    found = pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_email"] for r in found} == {0: 1, 1: 0, 2: 0, 3: 0}
+
+
 @pytest.mark.parametrize("value,kind", [
     ("a.b+c@d-e.co.uk", "email"), ("255.0.0.1", "ip"), ("+49 30 1234567", "phone"),
     ("4111-1111-1111-1111", "card"), ("Mme Élise Dupont", "name"),
