@@ -243,7 +243,7 @@ def delete_files(files):
     def remove(batches):
         for batch in batches:
             for path in batch["path"].to_pylist():
-                system, name = fs.FileSystem.from_uri(_arrow_uri(path))
+                system, name = fs.FileSystem.from_uri(arrow_uri(path))
                 try:
                     system.delete_file(name)
                 except FileNotFoundError:
@@ -255,7 +255,8 @@ def delete_files(files):
     ).save()
 
 
-def _arrow_uri(path):
+def arrow_uri(path):
+    """A path as Hadoop spells it, in the spelling of Arrow's file systems."""
     scheme, _, rest = path.partition(":")
     if not rest or "/" in scheme:
         return path
