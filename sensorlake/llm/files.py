@@ -12,6 +12,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 
 from sensorlake.session import scratch_path, written
+from sensorlake.sources.archive import arrow_uri
 
 
 def new_folder(spark, name):
@@ -21,7 +22,7 @@ def new_folder(spark, name):
 @contextmanager
 def new_file(folder, suffix):
     """(URI, open stream) of a new file of this task."""
-    system, path = fs.FileSystem.from_uri(folder)
+    system, path = fs.FileSystem.from_uri(arrow_uri(folder))
     system.create_dir(path, recursive=True)
     name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}{suffix}"
     with system.open_output_stream(f"{path}/{name}", compression=None) as out:
@@ -30,7 +31,7 @@ def new_file(folder, suffix):
 
 @contextmanager
 def opened(uri, random=False):
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = fs.FileSystem.from_uri(arrow_uri(uri))
     opener = system.open_input_file if random else system.open_input_stream
     with opener(path, **({} if random else {"compression": None})) as stream:
         yield stream
