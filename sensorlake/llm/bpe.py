@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from sensorlake.llm.words import text_slices
 
 #: Known chunks, pieces and pairs per process; beyond it the memory starts anew.
-KNOWN_CHUNKS = 600_000
-KNOWN_PIECES = 400_000
+KNOWN_CHUNKS = 250_000
+KNOWN_PIECES = 800_000
 KNOWN_PAIRS = 1 << 18
 _NEVER = 1 << 62
 
