@@ -62,8 +62,8 @@ class _Encoder:
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, token in vocabulary.items():
             self.last[token] = piece.endswith("</w>")
-        self.cut = re.compile(r"[ \n]")
-        self.simple = re.compile(r"([A-Za-z]+)([.,;:!?]*)\Z").match
+        # letters of one code point, that no normal form joins or takes apart
+        self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z").match
         self.known, self.words = {"": b""}, {"": b""}
 
     def _ids(self, texts):
@@ -75,16 +75,17 @@ class _Encoder:
         texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
         for i, ids in enumerate(self._ids(texts)):
             some = words[500 * i : 500 * i + 500]
-            ends = np.flatnonzero(self.last[ids]) + 1
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(ends) != len(some):  # not the kind of tokenizer that marks ends
-                parts = self._ids(some)
-            else:
-                parts = np.split(ids, ends[:-1])
-            self.words.update((w, p.tobytes()) for w, p in zip(some, parts))
+                self.words.update((w, x.tobytes()) for w, x in zip(some, self._ids(some)))
+                continue
+            data = ids.tobytes()
+            for word, begin, end in zip(some, [0, *ends], ends):
+                self.words[word] = data[begin:end]
 
     def __call__(self, texts):
         """The bytes of the 32-bit ids of each text."""
-        split = [self.cut.split(t) for t in texts]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > KNOWN_CHUNKS:
             self.known, self.words = {"": b""}, {"": b""}
         new = set(chain.from_iterable(split)).difference(self.known)
