@@ -9,6 +9,9 @@ counts the set bits before each block of a bitmap, so any id is found with one c
 and one rank per level, without decoding what stands before it. The widths of a segment
 are those with the fewest bits for its ids (dynamic programming over bit lengths).
 
+Ids are those of the library with ``add_special_tokens=False``: a special piece that stands
+as a literal in a text, such as ``<|endoftext|>``, has its own id.
+
 Null text has only the end id. Documents come in order of doc_id, null first; equal
 doc_ids in order of a hash and then their text. An empty table gives no shards and no
 rows. Other columns are left out.
@@ -57,7 +60,6 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, token in vocabulary.items():

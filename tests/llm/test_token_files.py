@@ -95,3 +95,21 @@ def test_files(odd, no_docs):
     order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in found]
     assert order == sorted(order)
     assert token_files.read(token_files.write(no_docs, PATH)).count() == 0
+
+
+def test_literals_of_special_pieces(spark):
+    """Ids are the plain library's, also where a text holds a special piece."""
+    tokenizer = Tokenizer.from_file(PATH)
+    literals = ["<|endoftext|>", "<|startoftext|>"]
+    texts = [form.replace("#", x) for x in literals for form in (
+        "#", "see # here", "in#side a word", "#x and x#", "##\n#", "<# #> <|endoftext #|", "É#é\t#.",
+    )]
+    texts += ["see <|endoftext|> here and <|startoftext|>x", "<|ENDOFTEXT|> <|end oftext|>", "none"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = token_files.read(token_files.write(docs, PATH)).orderBy("doc_id").collect()
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert ids[14] == [862, 49407, 763, 537, 49406, 343, 1]
+    starts = np.cumsum([0] + [len(x) for x in ids]).tolist()
+    assert [tuple(r) for r in found] == [
+        (i, starts[i], len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)
+    ]
