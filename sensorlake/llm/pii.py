@@ -4,19 +4,22 @@ Entities are e-mail addresses, phone numbers with a country code, long card-like
 IPv4 addresses, and names after a title. A value gets the same surrogate wherever it
 stands and however it is punctuated; the surrogate takes over the punctuation and case.
 
-* Digits go through a keyed permutation of all numbers of that length (a Feistel network
-  over two halves, its rounds from SHA-256), which keeps different values apart by its
-  nature. A phone number keeps its country code; a card its first digit, and the check
-  digit is valid if it was; an address keeps its first byte.
+* Digits go through a keyed permutation of all numbers of that length, which keeps
+  different values apart by its nature and leaves none where it was: a Feistel network
+  over two halves, its rounds from SHA-256, a shift, and the network backwards. A phone
+  number keeps its country code; a card its first digit, and the check digit is valid if
+  it was; an address keeps its first byte and the places of leading zeros.
 * Letters and digits of an e-mail address are drawn anew from a keyed hash; equal domains
-  get equal surrogates, which end in the reserved ``.example``.
+  get equal surrogates, which end in the reserved ``.example``. From the second tweak on
+  the local part grows, so that a domain whose short names are all in use has spare ones.
 * A name becomes syllables of its own script (Latin, Greek, Cyrillic), with the ending of
   the gender that the title tells.
 
 Two checks follow on the table of distinct values: no two of a type may have one
 surrogate, and none may keep itself. Those that fail, but for the first of equals, get
-the next ``tweak`` of the key, until none fails. The tweaks, if any, are joined to the
-rows again.
+the next ``tweak`` of the key, until none fails, however many rounds it takes: what can
+fail grows with the tweak or has far more surrogates than values (cards). The tweaks, if
+any, are joined to the rows again.
 
 All of it is DataFrame functions. Null text stays null and has no entities. Repeated rows
 get the same surrogates. An empty table gives no rows. Other columns are left out,
@@ -30,7 +33,8 @@ from sensorlake.session import written
 
 KEY = "surrogates"
 FEISTEL_ROUNDS = 6
-MOST_TWEAKS = 64
+#: Tweaks after which an e-mail address or a name grows by a letter.
+MAIL_TWEAKS, NAME_TWEAKS = 2, 4
 
 # The forms of entities, and titles by gender.
 TITLES = {
@@ -92,20 +96,31 @@ def _number(key, *parts):
 
 
 def _permuted(a, b, most_a, most_b, salt, key):
-    """(a, b) below (most_a, most_b), permuted; an even number of rounds restores sides."""
+    """(a, b) below (most_a, most_b), permuted, none where it was.
+
+    With most_b of at least 2, the shift of b between the rounds and their inverse moves
+    every pair. An inverse round is a round on swapped sides that takes away.
+    """
     start = F.struct(
         a.cast("long").alias("a"), b.cast("long").alias("b"),
         most_a.cast("long").alias("most_a"), most_b.cast("long").alias("most_b"),
     )
+    middle = FEISTEL_ROUNDS
 
     def turn(s, i):
-        new = (s["a"] + _number(key, salt, i, s["b"])) % s["most_a"]
+        by = 1 + _number(key, salt, F.lit("shift")) % (s["most_b"] - 1)
+        n = _number(key, salt, F.least(i, 2 * middle - i), s["b"])
+        more = F.pmod(s["a"] + n * F.when(i < middle, 1).otherwise(-1), s["most_a"])
         return F.struct(
-            s["b"].alias("a"), new.alias("b"),
+            F.when(i == middle, (s["b"] + by) % s["most_b"]).otherwise(s["b"]).alias("a"),
+            F.when(i == middle, s["a"]).otherwise(more).alias("b"),
             s["most_b"].alias("most_a"), s["most_a"].alias("most_b"),
         )
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1)), start, turn)
+    def sides(s):
+        return F.struct(s["b"].alias("a"), s["a"].alias("b"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(2 * middle)), start, turn, sides)
 
 
 def _digits(digits, salt, key):
@@ -150,19 +165,24 @@ def _address(own, salt, key):
     parts = F.split(own, r"\.")
 
     def told(p):
-        x = F.get(p, 1).cast("int") * 65536 + F.get(p, 2).cast("int") * 256 + F.get(p, 3).cast("int")
-        most = F.lit(4096)
-        done = _permuted(F.floor(x / 4096), x % 4096, most, most, F.concat_ws("|", salt, F.get(p, 0)), key)
-        return let(
-            done,
-            lambda d: let(
-                d["a"] * 4096 + d["b"],
-                lambda y: F.concat_ws(
-                    ".", F.get(p, 0), F.floor(y / 65536), F.floor(y / 256) % 256, y % 256
-                ),
-            ),
+        # a byte with a leading zero stays one: ten values, and a form of its own
+        zero = [F.rlike(F.get(p, i), F.lit(r"^0\d")) for i in (1, 2, 3)]
+        most = [F.when(z, 10).otherwise(256) for z in zero]
+        x = [F.get(p, i).cast("int") for i in (1, 2, 3)]
+        form = [F.when(z, "0").otherwise("") for z in zero]
+        done = _permuted(
+            x[0], x[1] * most[2] + x[2], most[0], most[1] * most[2],
+            F.concat_ws("|", salt, F.get(p, 0), *[m.cast("string") for m in most]), key,
         )
 
+        def joined(d):
+            new = (d["a"], F.floor(d["b"] / most[2]), d["b"] % most[2])
+            return F.concat_ws(
+                ".", F.get(p, 0), *[F.concat(f, y.cast("string")) for f, y in zip(form, new)]
+            )
+
+        return let(done, joined)
+
     return let(parts, told)
 
 
@@ -185,10 +205,12 @@ def _drawn(shape, salt, key):
     return let(hashed, char)
 
 
-def _mail(own, salt, key):
+def _mail(own, salt, tweak, key):
     local, domain = F.substring_index(own, "@", 1), F.substring_index(own, "@", -1)
     # the domain is drawn without the local part; the local part knows its domain
     names = F.regexp_replace(domain, r"\.[^.]*$", "")
+    more = F.when(F.rlike(local, F.lit("[0-9]$")), "0").otherwise("a")
+    local = F.concat(local, F.repeat(more, F.floor(tweak / MAIL_TWEAKS).cast("int")))
     return F.concat(
         _drawn(local, F.concat_ws("|", salt, domain), key),
         F.lit("@"), _drawn(names, F.concat(F.lit("domain|"), domain), key), F.lit(".example"),
@@ -206,7 +228,7 @@ def _name(own, salt, tweak, key):
 
         def one(w, place):
             hashed = F.sha2(F.concat_ws("|", F.lit(key), salt, place, own), 256)
-            size = F.greatest(F.lit(4), F.char_length(w)) + F.floor(tweak / 4).cast("int")
+            size = F.greatest(F.lit(4), F.char_length(w)) + F.floor(tweak / NAME_TWEAKS).cast("int")
 
             def char(h):
                 def letter(i):
@@ -239,7 +261,7 @@ def surrogate(kind, own, tweak, key=KEY):
         _digits(F.substring(own, code + 1, F.char_length(own)), salt, key),
     )
     return (
-        F.when(kind == "email", _mail(own, salt, key))
+        F.when(kind == "email", _mail(own, salt, tweak, key))
         .when(kind == "ip", _address(own, salt, key))
         .when(kind == "phone", phone)
         .when(kind == "card", _card(own, salt, key))
@@ -279,19 +301,18 @@ def respelled(kind, value, new):
 def tweaks(values, key=KEY):
     """(kind, id, tweak) of those of the distinct ``values`` (kind, id) that need a tweak."""
     values = values.distinct().withColumn("tweak", F.lit(0))
-    for _ in range(MOST_TWEAKS):
-        values = written(values, "entities")
-        drawn = values.withColumn("new", surrogate(F.col("kind"), F.col("id"), F.col("tweak"), key))
+    while True:
+        new = surrogate(F.col("kind"), F.col("id"), F.col("tweak"), key)
+        drawn = written(values.withColumn("new", new), "surrogates")
         # the first of those with one surrogate may keep it, if it is not itself
         first = drawn.groupBy("kind", "new").agg(
             F.min("id").alias("first"), F.count(F.lit(1)).alias("n")
         )
-        drawn = written(drawn.join(first, ["kind", "new"]), "surrogates")
+        drawn = written(drawn.join(first, ["kind", "new"]), "entities")
         bad = (F.col("id") == F.col("new")) | ((F.col("n") > 1) & (F.col("id") != F.col("first")))
         if not drawn.where(bad).limit(1).count():
-            return values.where("tweak > 0")
+            return drawn.select("kind", "id", "tweak").where("tweak > 0")
         values = drawn.select("kind", "id", (F.col("tweak") + bad.cast("int")).alias("tweak"))
-    raise ValueError("some values found no surrogate of their own")
 
 
 def replaced(rows, text, keep, key=KEY):

@@ -129,3 +129,32 @@ def test_kinds(spark, value, kind):
     df = spark.createDataFrame([(f"x {value}, y",)], "t string")
     found = df.select(F.explode(pii.entities(F.col("t")))).select("col.*").collect()
     assert [(r["kind"], r["value"]) for r in found] == [(kind, value)]
+
+
+def test_all_short_names_of_a_domain(spark):
+    """Values that use up all of their form get surrogates of their own nevertheless."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{c}@test.com" for c in letters]
+    # nothing to draw in the local part, and more domains than one letter tells apart
+    mails += [f"___@{c}.{end}" for c in letters for end in ("com", "org")]
+    found = spark.createDataFrame([("email", m) for m in mails], "kind string, id string")
+    tweaked = {r["id"]: r["tweak"] for r in pii.tweaks(found).collect()}
+    both = spark.createDataFrame([(m, tweaked.get(m, 0)) for m in mails], "id string, tweak int")
+    rows = both.select("id", pii.surrogate(F.lit("email"), F.col("id"), F.col("tweak"))).collect()
+    new = {r[0]: r[1] for r in rows}
+    assert len(set(new.values())) == len(mails) and not set(new.values()) & set(mails)
+    assert all(re.fullmatch(r"([a-z]+@[a-z]{4}|___[a-z]*@[a-z])\.example", x) for x in new.values())
+    assert len({x.split("@")[1] for m, x in new.items() if m.endswith("@test.com")}) == 1
+
+
+def test_all_numbers_of_a_form(spark):
+    """All numbers of a form are permuted, none stays, and no tweak is needed."""
+    for key in ("a", "b", "c"):
+        own = [("phone", f"21{i:02d}") for i in range(100)]
+        own += [("ip", f"9.{a}.0{b}.0{c}") for a in ("01", "1") for b in range(10) for c in range(10)]
+        df = spark.createDataFrame(own, "kind string, id string")
+        new = df.select("kind", "id", pii.surrogate(F.col("kind"), F.col("id"), F.lit(0), key)).collect()
+        assert len({(r[0], r[2]) for r in new}) == len(own) and all(r[1] != r[2] for r in new)
+        assert sorted(r[2] for r in new if r[0] == "phone") == [f"21{i:02d}" for i in range(100)]
+        assert all(re.fullmatch(r"9\.\d+\.0\d\.0\d", r[2]) for r in new if r[0] == "ip")
+        assert pii.tweaks(df, key).count() == 0
