@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorlake.llm import (
-    bpe, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, winnow,
+    bpe, exact_dedup, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, winnow,
 )
 
 QUERIES = {}
@@ -229,3 +229,18 @@ def op3_token_counts(spark, sf_dir):
     """Number of unigram tokens of every document."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.counted(table(spark, sf_dir, "documents"), path)
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
+@query(OP13_SQL)
+def op13_exact_dedup(spark, sf_dir):
+    """The row that stays of every group of equal texts."""
+    return exact_dedup.repeats(table(spark, sf_dir, "documents"))
