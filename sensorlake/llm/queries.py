@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorlake.llm import (
-    bpe, exact_dedup, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, winnow,
+    bpe, exact_dedup, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, whitening,
+    winnow,
 )
 
 QUERIES = {}
@@ -244,3 +245,9 @@ FROM d WINDOW g AS (PARTITION BY t)
 def op13_exact_dedup(spark, sf_dir):
     """The row that stays of every group of equal texts."""
     return exact_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_whitening(spark, sf_dir):
+    """Embeddings projected on the leading components of their covariance."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
