@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorlake.llm import (
-    bpe, exact_dedup, jaccard, language, pii, quality, secret_scan, token_counts, token_files, warc, whitening,
-    winnow,
+    bpe, exact_dedup, jaccard, language, negatives, pii, quality, secret_scan, token_counts,
+    token_files, warc, whitening, winnow,
 )
 
 QUERIES = {}
@@ -251,3 +251,30 @@ def op13_exact_dedup(spark, sf_dir):
 def op12_whitening(spark, sf_dir):
     """Embeddings projected on the leading components of their covariance."""
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+  FROM r a JOIN r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query(OP11_SQL)
+def op11_hard_negatives(spark, sf_dir):
+    """Rows of other labels in a window below the nearest rows of an anchor's own."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.withColumn("label", moved), "vec_id % 100 = 0")
