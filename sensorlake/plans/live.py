@@ -3,6 +3,9 @@
 The stream source is a folder of message files that Spark writes from the events.
 """
 
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -495,3 +498,52 @@ def backfill(spark, sf_dir):
         for name, df in stores.items()
     ]
     return counts[0].unionByName(counts[1])
+
+
+_N_BATCHES = 6
+
+
+@query(
+    "s14_resumed_inside_file",
+    sql(
+        f"""SELECT 'hot' AS store, {_N_POINTS} AS n FROM {_LOADED}
+            UNION ALL SELECT 'archive', count(DISTINCT (mote, at_)) FILTER (at_ IS NOT NULL)
+            FROM {_LOADED}
+            UNION ALL SELECT 'lines', count(*) FROM folded_lines
+            UNION ALL SELECT 'batches', CAST(ceil(count(*) / (count(*) // {_N_BATCHES} + 1)) AS BIGINT)
+            FROM folded_lines""",
+        "folded_lines",
+    ),
+)
+def resumed_inside_file(spark, sf_dir):
+    """Text to both stores in batches of lines that end inside files. The load breaks off
+    after its third batch is written and before it is noted, and goes on from there."""
+    path, checkpoint = scratch_path(spark, "lines"), scratch_path(spark, "checkpoint")
+    hot, cold, reports = (scratch_path(spark, n) for n in ("hot", "archive", "reports"))
+    tables.lines(spark, sf_dir, MOTES).select("line").write.text(path)
+    lines_per_batch = spark.read.text(path).count() // _N_BATCHES + 1
+    sink = DualSink(hot, cold, reports=reports)
+
+    def breaks_off(rows, batch, source):
+        sink(rows, batch, source)
+        if batch == 2:
+            raise InterruptedError("the load is broken off")
+
+    try:
+        jobs.backfill_lines(spark, path, breaks_off, checkpoint, lines_per_batch)
+    except StreamingQueryException as error:
+        if "broken off" not in str(error):
+            raise
+    jobs.backfill_lines(spark, path, sink, checkpoint, lines_per_batch)
+    loaded = spark.read.schema(REPORT).parquet(reports)
+    count = F.count(F.lit(1))
+    counts = {
+        "hot": read_hot(spark, hot).agg(count.alias("n")),
+        "archive": read_mote_archive(spark, cold).agg(count.alias("n")),
+        "lines": loaded.agg(F.sum("n_read").alias("n")),
+        "batches": loaded.agg(count.alias("n")),
+    }
+    return reduce(
+        lambda a, b: a.unionByName(b),
+        [df.select(F.lit(name).alias("store"), "n") for name, df in counts.items()],
+    )

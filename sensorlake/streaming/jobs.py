@@ -9,6 +9,7 @@ from sensorlake.operators.dedup import first_per_key
 from sensorlake.operators.joins import unseen
 from sensorlake.operators.timeseries import to_points
 from sensorlake.schemas import METRICS
+from sensorlake.sources.lines import LINES_PER_BATCH, read_line_stream
 from sensorlake.sources.text import parse_ragged
 from sensorlake.streaming import messages
 from sensorlake.streaming.sinks import batch_folder, in_days_of, with_arrival
@@ -83,7 +84,7 @@ def backfill(
     spark, path, sink, checkpoint, files_per_batch=None, bytes_per_batch=messages.BYTES_PER_BATCH
 ):
     """Text files to both stores in batches, resumable: a file that was loaded is not read
-    again.
+    again. ``backfill_lines`` also goes on inside a file.
 
     ``DualSink(cold_only=True)`` leaves the hot store out.
     """
@@ -91,6 +92,25 @@ def backfill(
     return each_batch(text_messages(lines), sink, checkpoint, UNTIL_CAUGHT_UP)
 
 
+def run_until_caught_up(query):
+    """Lets a query work off what there is, batch by batch, and stops it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def backfill_lines(
+    spark, path, sink, checkpoint, lines_per_batch=LINES_PER_BATCH, bytes_per_batch=None
+):
+    """As ``backfill``, in batches of lines: a stop inside a file goes on with the next
+    line. Returns when all lines are loaded."""
+    state = f"{checkpoint}/lines"
+    lines = read_line_stream(spark, path, state, lines_per_batch, bytes_per_batch)
+    soon = {"processingTime": "0 seconds"}
+    run_until_caught_up(each_batch(text_messages(lines), sink, checkpoint, soon))
+
+
 def backfill_report(parsed):
     """Dry run of a backfill: lines read, loadable, points they give, lines skipped."""
     points = sum((F.col(m).isNotNull().cast("int") for m in METRICS), F.lit(0))

@@ -108,20 +108,20 @@ def lines(spark, *rows):
 
 
 def test_remap_historical_lines(spark):
-    full = "2004-02-28 00:59:16.02 3 1 19.9 37.0 45.08 2.69 2026-01-17T00:59:16.5Z"
-    sparse = "  2004-02-28 00:58:15.3  1 2026-01-10T19:03:19"
-    other = "2004-02-28 00:58:15.3 1 garbage"
-    eight = "2004-02-28 00:59:16.02 3 1 19.9 37.0 45.08 2026-05-17T00:59:16.5"
+    full = "2013-11-04 17:20:41.75 58 6 23.5 61.25 310.0 2.5 2030-05-22T17:20:41.5Z"
+    sparse = "  2013-11-04 17:21:08.6  6 2030-05-23T08:30:11"
+    other = "2013-11-04 17:21:08.6 6 garbage"
+    eight = "2013-11-04 17:20:41.75 58 6 23.5 61.25 310.0 2030-09-22T17:20:41.5"
     got = remap.remap_historical_lines(lines(spark, full, sparse, other, eight), AS_OF).orderBy("i")
     rows = got.collect()
-    assert rows[0]["line"].endswith(" 2.69 2026-02-09T00:59:16.500000")
-    assert rows[1]["line"] == "  2004-02-28 00:58:15.3  1 2026-02-02T19:03:19.000000"
+    assert rows[0]["line"].endswith(" 2.5 2026-02-08T17:20:41.500000")
+    assert rows[1]["line"] == "  2013-11-04 17:21:08.6  6 2026-02-09T08:30:11.000000"
     assert [r["line"] for r in rows[2:]] == [other, eight]
     assert [r["changed"] for r in rows] == [True, True, False, False]
 
 
 def test_remap_incremental_lines(spark):
-    line = "{} 00:58:15.3 1 2020-01-10T19:03:19"
+    line = "{} 21:14:02.9 5 2019-06-03T19:03:19"
     days = ("2004-03-09", "2004-02-28", "2004-03-01", "2004-02-28")
     got = remap.remap_incremental_lines(lines(spark, *map(line.format, days)), AS_OF).orderBy("i")
     last = [r["line"].split()[-1][:16] for r in got.collect()]
