@@ -1,18 +1,21 @@
 """The Parquet archive: folders by day (and mote), inventory, compaction."""
 
+import uuid
 from datetime import timedelta
 from functools import reduce
 from operator import or_
 
-from py4j.protocol import Py4JJavaError
 from pyarrow import fs
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sensorlake.functions import times
 from sensorlake.schemas import DAILY_ARCHIVE, METRICS, MOTE_ARCHIVE, PARTITIONS, READING
 from sensorlake.session import written
+from sensorlake.sources import rewrite
+from sensorlake.sources.paths import arrow_uri
 
 MOTE_PARTITIONS = (*PARTITIONS, "mote_id")
 MOTE_FOLDER = r"(year=\d+/month=\d+/day=\d+/mote_id=\d+)/[^/]+\.parquet$"
@@ -255,133 +258,39 @@ def delete_files(files):
     ).save()
 
 
-def arrow_uri(path):
-    """A path as Hadoop spells it, in the spelling of Arrow's file systems."""
-    scheme, _, rest = path.partition(":")
-    if not rest or "/" in scheme:
-        return path
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    return f"{scheme}://{'/' if scheme == 'file' else ''}{rest.lstrip('/')}"
-
-
-def _round_rows(spark, path, names):
-    """Rows of some folders with the union of their files' columns, or None if two files
-    disagree about a type."""
-    folders = [f"{path}/{name}" for name in names]
-    try:
-        rows = (
-            spark.read.option("basePath", path)
-            .option("mergeSchema", "true")
-            .option("ignoreCorruptFiles", "true")
-            .option("partitionInferenceEnabled", "false")
-            .parquet(*folders)
-        )
-    except (PySparkException, Py4JJavaError) as error:
-        if not any(c in str(error) for c in ("CANNOT_MERGE", "UNABLE_TO_INFER", "Failed merging")):
-            raise
-        return None
-    # folder values as they are named, and the columns of the archive even if all are absent
-    folder = F.regexp_extract(F.col("_metadata.file_path"), MOTE_FOLDER, 1)
-    values = {
-        c: F.regexp_extract(folder, rf"{c}=([^/]+)", 1) for c in MOTE_PARTITIONS
-    }
-    absent = [f for f in MOTE_ARCHIVE if f.name not in rows.columns]
-    return rows.withColumns(
-        {
-            **{f.name: F.lit(None).cast(f.dataType) for f in absent},
-            "_key": file_key(F.col("_metadata.file_path")),
-            "folder": folder,
-            **values,
-        }
-    )
-
-
-#: Folders that are compacted at once; more are taken in further rounds.
-ROUND = 1_000
-
-
-def _rounds(spark, path, names):
-    """(names, rows) of groups of folders; a group whose files disagree is halved."""
-    groups = [names[i : i + ROUND] for i in range(0, len(names), ROUND)]
-    while groups:
-        group = groups.pop()
-        rows = _round_rows(spark, path, group)
-        if rows is None and len(group) > 1:
-            half = len(group) // 2
-            groups += [group[:half], group[half:]]
-        else:
-            yield group, rows
+def _arrow_fields():
+    """The archive's own columns, as Arrow has them."""
+    return list(to_arrow_schema(StructType([f for f in MOTE_ARCHIVE if f.name not in MOTE_PARTITIONS])))
 
 
 def compact(spark, path, min_files=2, only=None, limit=0, dry_run=False, keep_originals=False):
     """Rewrite folders of many small files and report per folder.
 
-    The files to replace are listed first. Their rows, with the union of their columns,
-    are staged; a folder goes on only if every listed file was read, else it is left as it
-    is and reported as ``partial`` (or as ``error`` if nothing of it could be read). The
-    new files are added beside the old ones, and then exactly the listed files are
-    deleted, so files that arrive meanwhile stay. A second run finds nothing to do.
-    Between the two steps rows show twice; a run that ends there has its report in the
-    shared folder. ``keep_originals`` stops after staging. Folder names go to the driver,
-    ``ROUND`` folders are worked on at once.
+    The files to replace are listed first, and tasks write their rows, with the union of
+    their columns, into a hidden folder. A folder goes on only if every listed file was
+    read, else it is left as it is and reported as ``partial`` (or as ``error`` if nothing
+    of it could be read or its files disagree about a type). Each new file then takes the
+    place of exactly the files it was written from, so files that arrive meanwhile stay. A
+    second run finds nothing to do. While a task swaps a file, rows of that file show
+    twice; tables of ``sources.snapshots`` have no such moment. ``keep_originals`` stops
+    before the swap. One job rewrites all folders, and no name goes to the driver.
     """
     files = written(inventory(spark, path).filter(F.col("folder").isNotNull()), "files")
     plan = written(compaction_plan(files, min_files, only, limit), "compaction-plan")
-    names = sorted(r["folder"] for r in plan.select("folder").collect())
-    report = None
-    for group, rows in _rounds(spark, path, names):
-        chosen = F.col("folder").isin(group)
-        one = _compact_round(
-            spark, path, files.filter(chosen), plan.filter(chosen), rows, dry_run, keep_originals
-        )
-        report = one if report is None else report.unionByName(one)
-    return _empty_report(spark) if report is None else report
-
-
-_REPORT = "folder string, n_files long, n_rows long, status string"
-
-
-def _empty_report(spark):
-    return spark.createDataFrame([], _REPORT)
-
-
-def _compact_round(spark, path, files, plan, rows, dry_run, keep_originals):
-    if rows is None:
-        none = F.lit(0).cast("long")
-        return plan.select("folder", "n_files", none.alias("n_rows"), F.lit("error").alias("status"))
-    listed = files.select(file_key(F.col("path")).alias("_key"))
-    rows = rows.join(listed, "_key", "left_semi")
+    found = rewrite.bins(files, plan)
     if dry_run:
-        counted = rows.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
-        return plan.join(counted, "folder", "left").select(
+        return plan.join(rewrite.counted(found), "folder", "left").select(
             "folder",
             "n_files",
             F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
             F.lit("dry_run").alias("status"),
         )
-    staged = written(_balanced(rows, MOTE_PARTITIONS), "compaction")
-    read = staged.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("_key").alias("n_read")
-    )
-    report = written(
-        plan.join(read, "folder", "left").select(
-            "folder",
-            "n_files",
-            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-            F.when(F.col("n_read").isNull(), "error")
-            .when(F.col("n_read") < F.col("n_files"), "partial")
-            .otherwise("ok")
-            .alias("status"),
-        ),
-        "compaction-report",
-    )
+    aside = f"{path}/_compaction-{uuid.uuid4().hex}"
+    parts = written(rewrite.merge(found, aside, _arrow_fields()), "compaction")
+    report = written(rewrite.report(plan, parts), "compaction-report")
     if not keep_originals:
         done = report.filter("status = 'ok'").select("folder")
-        whole = staged.join(done, "folder", "left_semi")
-        _balanced(whole.drop("folder", "_key"), MOTE_PARTITIONS).write.mode("append").option(
-            "compression", "snappy"
-        ).partitionBy(*MOTE_PARTITIONS).parquet(path)
-        delete_files(files.join(done, "folder", "left_semi"))
+        rewrite.swap(parts.join(done, "folder", "left_semi"), path)
     return report
 
 

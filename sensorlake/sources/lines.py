@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from sensorlake.sources.archive import arrow_uri
+from sensorlake.sources.paths import arrow_uri
 
 FORMAT = "text_lines"
 SCHEMA = "line string, file long, byte long"
