@@ -19,6 +19,7 @@ from sensorlake.plans.text import _T
 from sensorlake.schemas import METRICS
 from sensorlake.session import scratch_path
 from sensorlake.sources.archive import read_mote_archive
+from sensorlake.sources.snapshots import SnapshotTable
 from sensorlake.streaming import jobs, messages
 from sensorlake.streaming.sinks import (
     REPORT,
@@ -235,6 +236,23 @@ def dual_write(spark, sf_dir):
     return rows.select("mote_id", "epoch", "updated_timestamp", *METRICS)
 
 
+@query(
+    "t2_snapshot_ingest",
+    f"""SELECT mote_id, epoch, updated_timestamp, {_METRICS} FROM {_COLD}""",
+)
+def snapshot_ingest(spark, sf_dir):
+    """The archive as a snapshot table: some batches, each comparing with its days only;
+    then all messages once more from a new checkpoint, which adds nothing; compaction."""
+    hot, path = scratch_path(spark, "hot"), scratch_path(spark, "archive")
+    table, topic = SnapshotTable(spark, path), _topic(spark, sf_dir)
+    n_files = spark.read.text(topic).select(F.col("_metadata.file_path")).distinct().count()
+    for files_per_batch in (-(-n_files // 4), n_files):
+        stream = messages.read_files(spark, topic, files_per_batch)
+        jobs.ingest(stream, DualSink(hot, table), scratch_path(spark, "checkpoint")).awaitTermination()
+    table.compact()
+    return table.read().select("mote_id", "epoch", "updated_timestamp", *METRICS)
+
+
 @query(
     "t3_replayed_batch",
     f"""SELECT 'hot' AS store, count(*) AS n FROM {_HOT}

@@ -1,6 +1,7 @@
 """Queries of the archive: sinks, readers, inventory, compaction, reconciliation."""
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -10,8 +11,9 @@ from sensorlake.plans import tables
 from sensorlake.plans.registry import query
 from sensorlake.plans.tables import MOTES, sql
 from sensorlake.schemas import METRICS, MOTE_ARCHIVE, READING
-from sensorlake.session import scratch_path
+from sensorlake.session import scratch_path, written
 from sensorlake.sources import archive
+from sensorlake.sources.snapshots import SnapshotTable
 
 _METRICS = ", ".join(METRICS)
 _PARTS = """strftime(updated_timestamp, '%Y') AS year, strftime(updated_timestamp, '%m') AS month,
@@ -241,6 +243,46 @@ def compacted_unequal(spark, sf_dir):
     return found.select("mote_id", "epoch", "timestamp", "updated_timestamp", *METRICS, "extra")
 
 
+_STEPS = {"first load": 2, "second load": 1, "rewritten": 1, "committed": 1, "first again": 2}
+
+
+@query(
+    "s15_snapshot_compaction",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT '{step}' AS step, mote_id, count(*) AS n_rows, CAST(sum(epoch) AS BIGINT) AS epochs,
+                count(DISTINCT (CAST(updated_timestamp AS DATE), {"0" if step == "committed" else "epoch % 2"}))
+                  AS n_files FROM folded WHERE epoch % {part} = 0 GROUP BY ALL"""
+            for step, part in _STEPS.items()
+        ),
+        "folded",
+    ),
+)
+def snapshot_compaction(spark, sf_dir):
+    """What readers of a snapshot table see after each of two loads, while compaction has
+    written its files but not committed them, after its commit, and of the first version."""
+    table = SnapshotTable(spark, scratch_path(spark, "archive"))
+    rows = archive.with_partitions(_folded(spark, sf_dir))
+    mote = F.regexp_extract("folder", r"mote_id=(\d+)", 1).cast("int").alias("mote_id")
+
+    def seen(step, version=None):
+        counted = table.read(version).groupBy("mote_id").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("epoch").alias("epochs")
+        )
+        files = table.files(version).groupBy(mote).agg(F.count(F.lit(1)).alias("n_files"))
+        return written(counted.join(files, "mote_id").withColumn("step", F.lit(step)), "seen")
+
+    table.append(rows.filter("epoch % 2 = 0"))
+    found = [seen("first load")]
+    table.append(rows.filter("epoch % 2 = 1"))
+    found.append(seen("second load"))
+    changes, _ = table.rewrite()
+    found.append(seen("rewritten"))
+    table.commit(changes)
+    found += [seen("committed"), seen("first again", 1)]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query(
     "u3_promoted_columns",
     sql(

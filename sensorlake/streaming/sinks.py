@@ -20,6 +20,7 @@ from sensorlake.sources.archive import (
     with_partitions,
     write_mote_archive,
 )
+from sensorlake.sources.snapshots import SnapshotTable
 from sensorlake.streaming import messages
 
 logger = logging.getLogger(__name__)
@@ -163,7 +164,10 @@ class DualSink:
             rows = messages.to_archive_rows(parsed)
             failed = False
             try:
-                archive_new(spark, rows, self.archive)
+                if isinstance(self.archive, SnapshotTable):
+                    self.archive.append_new(rows, source, batch)
+                else:
+                    archive_new(spark, rows, self.archive)
             except Exception:
                 failed = True
                 logger.exception("archive write of batch %s of %s failed", batch, source)
