@@ -6,7 +6,6 @@ The stream source is a folder of message files that Spark writes from the events
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions import times
@@ -155,12 +154,16 @@ def _ingested(spark, sf_dir):
     return hot, cold, rejects, sink
 
 
-def _four_files(spark, sf_dir, order):
-    """The messages in four files, by event id; files come in the order they are written."""
+_FILES = 4
+
+
+def _four_parts(spark, sf_dir):
+    """The messages in four parts, by event id, of ``_FILES`` files each; files come in the
+    order they are written."""
     path = scratch_path(spark, "topic")
     for part in range(4):
-        sent = _sent(spark, sf_dir).filter(F.col("event_id") % 4 == part).coalesce(1)
-        messages.write_files(sent, path, order)
+        sent = _sent(spark, sf_dir).filter(F.col("event_id") % 4 == part)
+        messages.write_files(sent.repartition(_FILES), path, ("key", "event_id", "copy"))
     return path
 
 
@@ -171,13 +174,13 @@ def _four_files(spark, sf_dir, order):
 )
 def micro_batches(spark, sf_dir):
     """A backlog is taken in batches of bounded size, in order."""
-    path, topic = scratch_path(spark, "batches"), _four_files(spark, sf_dir, ("key", "event_id"))
+    path, topic = scratch_path(spark, "batches"), _four_parts(spark, sf_dir)
 
     def write(rows, batch, source):
         counted = rows.agg(F.count(F.lit(1)).alias("n_read"))
         counted.write.mode("overwrite").parquet(batch_folder(path, source, batch))
 
-    stream = messages.parse(messages.read_files(spark, topic, files_per_batch=1))
+    stream = messages.parse(messages.read_files(spark, topic, files_per_batch=_FILES))
     checkpoint = scratch_path(spark, "checkpoint")
     jobs.each_batch(stream, write, checkpoint, jobs.UNTIL_CAUGHT_UP).awaitTermination()
     return spark.read.schema(REPORT).parquet(path).select("batch", "n_read")
@@ -191,19 +194,19 @@ def micro_batches(spark, sf_dir):
           AND event_id % 31 > 0 GROUP BY 1""",
 )
 def order_per_mote(spark, sf_dir):
-    """Messages of a mote stand in event order in every file; those cut off have no epoch."""
-    path = _four_files(spark, sf_dir, ("key", "event_id", "copy"))
-    body = F.from_json("value", messages.MESSAGE)
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("place"),
-        body.alias("m"),
-    )
-    known = lines.filter("m.epoch is not null").select("file", "place", "m.mote_id", "m.epoch")
-    before = F.lag("epoch").over(W.partitionBy("file", "mote_id").orderBy("place"))
-    ordered = known.withColumn("late", F.coalesce(before > F.col("epoch"), F.lit(False)))
-    return ordered.groupBy(F.col("mote_id").cast("string").alias("key")).agg(
-        F.count(F.lit(1)).alias("n_messages"), F.count_if("late").alias("n_out_of_order")
+    """Messages dealt by key, in three loads of rising ids, arrive in order per mote, also
+    across batches; those cut off have no epoch."""
+    path, topic = scratch_path(spark, "order"), scratch_path(spark, "topic")
+    sent = _sent(spark, sf_dir)
+    last = sent.agg(F.max("event_id")).first()[0]
+    third = (last or 0) // 3 + 1
+    for part in range(3):
+        some = sent.filter(F.expr(f"event_id div {third}") == part).repartition(_FILES, "key")
+        messages.write_files(some, topic, ("key", "event_id", "copy"))
+    stream = messages.read_files(spark, topic, files_per_batch=_FILES)
+    jobs.write_order_counts(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path).groupBy("key").agg(
+        F.sum("n_messages").alias("n_messages"), F.sum("n_out_of_order").alias("n_out_of_order")
     )
 
 
@@ -219,8 +222,8 @@ _N_VALUES = " + ".join(f"count({m}) FILTER (reject IS NULL)" for m in METRICS)
 def load_totals(spark, sf_dir):
     """What a load read, sent to both stores and skipped."""
     hot, cold, reports = (scratch_path(spark, n) for n in ("hot", "archive", "reports"))
-    topic = _four_files(spark, sf_dir, ("key", "event_id", "copy"))
-    stream = messages.read_files(spark, topic, files_per_batch=2)
+    topic = _four_parts(spark, sf_dir)
+    stream = messages.read_files(spark, topic, files_per_batch=2 * _FILES)
     sink = DualSink(hot, cold, reports=reports)
     jobs.ingest(stream, sink, scratch_path(spark, "checkpoint")).awaitTermination()
     return load_report(spark.read.schema(REPORT).parquet(reports))
@@ -323,8 +326,7 @@ def stream_dedup(spark, sf_dir):
         messages.write_files(sent, topic, ("key", "event_id", "copy"))
     stream = messages.read_files(spark, topic, files_per_batch=8)
     jobs.write_deduplicated(stream, path, checkpoint).awaitTermination()
-    schema = "mote_id int, event_time timestamp_ntz, source string, batch long, date string"
-    return spark.read.schema(schema).parquet(path).select("mote_id", "event_time")
+    return spark.read.parquet(path).select("mote_id", "event_time")
 
 
 @query(

@@ -1,18 +1,14 @@
 """Streaming jobs: ingest, backfill from text, deduplication, live means."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from sensorlake.functions import times
-from sensorlake.operators.dedup import first_per_key
-from sensorlake.operators.joins import unseen
 from sensorlake.operators.timeseries import to_points
 from sensorlake.schemas import METRICS
 from sensorlake.sources.lines import LINES_PER_BATCH, read_line_stream
 from sensorlake.sources.text import parse_ragged
-from sensorlake.streaming import messages
-from sensorlake.streaming.sinks import batch_folder, in_days_of, with_arrival
+from sensorlake.streaming import messages, state
+from sensorlake.streaming.sinks import batch_folder
 
 
 def batch_trigger(seconds=1.0):
@@ -134,40 +130,17 @@ def event_times(parsed):
 def write_deduplicated(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP):
     """The first row to arrive per mote and event time, whatever its age.
 
-    What was written is the memory, so nothing is forgotten and no state grows: a batch
-    is compared with the day folders its rows fall in. A replayed batch replaces its own
-    files. Rows without an event time are in the rejects.
+    What was seen is keyed state in the checkpoint, so a batch costs what its rows cost,
+    and the sink's own log keeps replays out. Rows without an event time are in the rejects.
     """
+    rows = state.first_seen(messages.parse(stream))
+    return state.started(stream.sparkSession, lambda: to_files(rows, path, checkpoint, trigger))
 
-    def write(parsed, batch, source):
-        rows = messages.accepted(with_arrival(parsed))
-        day = F.date_format("event_time", "yyyy-MM-dd")
-        rows = first_per_key(rows, ["mote_id", "event_time"], ["arrival"]).drop("arrival")
-        rows = rows.withColumn("date", day).persist()
-        try:
-            known = read_deduplicated(rows.sparkSession, path, rows.schema)
-            known = known.filter(in_days_of(rows, F.col("date")))
-            known = known.filter((F.col("source") != source) | (F.col("batch") != batch))
-            new = unseen(rows, known, ("mote_id", "event_time"))
-            new.write.mode("overwrite").partitionBy("date").parquet(
-                batch_folder(path, source, batch)
-            )
-        finally:
-            rows.unpersist()
 
-    return each_batch(messages.parse(stream), write, checkpoint, trigger)
-
-
-def read_deduplicated(spark, path, schema):
-    """What ``write_deduplicated`` wrote; no rows where nothing is written yet."""
-    columns = [f for f in schema if f.name not in ("source", "batch", "date")]
-    schema = StructType(columns).add("source", "string").add("batch", "long").add("date", "string")
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def write_order_counts(stream, path, checkpoint, trigger=UNTIL_CAUGHT_UP):
+    """Messages per mote and batch, and how many came out of order."""
+    counts = state.order_counts(messages.parse(stream))
+    return state.started(stream.sparkSession, lambda: to_files(counts, path, checkpoint, trigger))
 
 
 def live_minute_mean(parsed, metric, delay="1 hour", every="1 minute"):

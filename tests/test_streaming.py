@@ -198,6 +198,41 @@ def test_dedup_stream(spark, tmp_path):
     assert go() == [(2020, 3, 23.0), (2026, 0, 20.0), (2026, 1, 21.0), (2026, 2, 22.0)]
 
 
+def test_dedup_state(spark, tmp_path):
+    """Many small batches: late repeats are dropped after a restart, ties go to the first."""
+    topic, out = str(tmp_path / "t"), str(tmp_path / "o")
+
+    def go():
+        stream = messages.read_files(spark, topic, files_per_batch=1)
+        query = jobs.write_deduplicated(stream, out, str(tmp_path / "cp"))
+        query.awaitTermination()
+        rows = spark.read.parquet(out).select("mote_id", "event_time", "temperature", "epoch")
+        return sorted(tuple(r) for r in rows.collect()), query
+
+    for i in range(6):
+        put(topic, f"f{i}", message(1, i, temperature=i / 3), message(1, 0, temperature=99.0),
+            message(2, i), message(1, i, temperature=77.0))
+    first, _ = go()
+    assert [r[2] for r in first if r[0] == 1] == [i / 3 for i in range(6)]
+    assert len(first) == 12
+    put(topic, "late", message(1, 2, temperature=55.0), message(2, 5), message(3, 0))
+    again, query = go()
+    assert [r for r in again if r[0] != 3] == first and len(again) == 13
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_order_across_batches(spark, tmp_path):
+    topic, out = str(tmp_path / "t"), str(tmp_path / "o")
+    put(topic, "a", message(1, 0, epoch=1), message(1, 1, epoch=2), message(2, 0, epoch=9))
+    put(topic, "b", message(1, 2, epoch=2), message(2, 1, epoch=8), message(2, 2, epoch=10))
+    put(topic, "c", message(None, 3, epoch=4), message(1, 3, epoch=1),
+        message(None, 3, epoch=1), message(7, 1)[:-2])
+    stream = messages.read_files(spark, topic, files_per_batch=1)
+    jobs.write_order_counts(stream, out, str(tmp_path / "cp")).awaitTermination()
+    sums = spark.read.parquet(out).groupBy("key").agg(F.sum("n_messages"), F.sum("n_out_of_order"))
+    assert sorted(map(tuple, sums.collect()), key=str) == [("1", 4, 1), ("2", 3, 1), (None, 2, 1)]
+
+
 def test_minute_means(spark, tmp_path):
     topic, parts = str(tmp_path / "t"), str(tmp_path / "p")
     for name, value in (("a", 10.0), ("b", 30.0)):
@@ -219,12 +254,12 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
     assert sorted(r["_time"].minute for r in spark.read.parquet(out).collect()) == [1, 6]
 
 
-FULL = "2004-02-28 00:59:16.02785 3 {} 19.9 37.0 45.08 2.69 2026-01-17T00:59:16.027850"
+FULL = "2012-09-14 08:27:33.90125 47 {} 18.5 52.25 96.0 2.5 2029-04-08T08:27:33.901250"
 
 
 def test_backfill(spark, tmp_path):
     source, hot, cold = (str(tmp_path / n) for n in ("s", "h", "c"))
-    put(source, "a", FULL.format(1), FULL.format(2), "too short", "2004-02-28 00:58:15.3 1 2026-01-19T19:03:19.89")
+    put(source, "a", FULL.format(1), FULL.format(2), "too short", "2012-09-14 08:29:02.4 1 2029-04-09T11:52:40.16")
     for _ in range(2):
         jobs.backfill(spark, source, sinks.DualSink(hot, cold), str(tmp_path / "cp")).awaitTermination()
     assert sinks.read_hot(spark, hot).count() == 8
