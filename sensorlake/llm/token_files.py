@@ -38,14 +38,45 @@ SEGMENT = 1 << 18
 END_ID = 1
 #: Bits of a bitmap per entry of its rank directory.
 RANK_BLOCK = 512
-#: Known chunks per process; beyond it the memory starts anew.
-KNOWN_CHUNKS = 500_000
+#: Bytes of a generation of known chunks per process (of words half as much), what an entry
+#: takes besides its key and value, and the longest key that outlives a generation.
+MEMORY_BYTES, ENTRY_BYTES, LONGEST_KEY = 96 << 20, 200, 256
 _MAGIC = b"DACTOK01"
 
 
 # Encoding --------------------------------------------------------------------------
 
 
+class _Memory(dict):
+    """Values by key, in two generations of bounded size: what was not used for a whole
+    generation is forgotten."""
+
+    def __init__(self, most_bytes):
+        self.most_bytes, self.size, self.older = most_bytes, 0, {}
+        super().__init__({"": b""})
+
+    def missing(self, keys):
+        """The keys among these that are not known."""
+        new = set(keys).difference(self)
+        if self.older:
+            again = new.intersection(self.older)
+            self.learn({key: self.older[key] for key in again})
+            new -= again
+        return new
+
+    def learn(self, found):
+        self.update(found)
+        lengths = sum(map(len, found)) + sum(map(len, found.values()))
+        self.size += lengths + ENTRY_BYTES * len(found)
+
+    def tidy(self):
+        """Starts a generation if this one is full; long keys are not kept."""
+        if self.size > self.most_bytes:
+            self.older = {k: v for k, v in self.items() if len(k) <= LONGEST_KEY}
+            self.clear()
+            self[""], self.size = b"", 0
+
+
 class _Encoder:
     """Texts to ids of a tokenizer whose pieces never hold white space.
 
@@ -65,45 +96,46 @@ class _Encoder:
         for piece, token in vocabulary.items():
             self.last[token] = piece.endswith("</w>")
         # letters of one code point, that no normal form joins or takes apart
-        self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)\Z").match
-        self.known, self.words = {"": b""}, {"": b""}
+        self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)\Z").match
+        self.known, self.words = _Memory(MEMORY_BYTES), _Memory(MEMORY_BYTES // 2)
 
     def _ids(self, texts):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.int32) for x in found]
 
     def _learn_words(self, words):
-        words = [w for w in words if w not in self.words]
+        words, found = list(self.words.missing(words)), {}
         texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
         for i, ids in enumerate(self._ids(texts)):
             some = words[500 * i : 500 * i + 500]
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(ends) != len(some):  # not the kind of tokenizer that marks ends
-                self.words.update((w, x.tobytes()) for w, x in zip(some, self._ids(some)))
+                found.update((w, x.tobytes()) for w, x in zip(some, self._ids(some)))
                 continue
             data = ids.tobytes()
-            for word, begin, end in zip(some, [0, *ends], ends):
-                self.words[word] = data[begin:end]
+            found.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        self.words.learn(found)
 
     def __call__(self, texts):
         """The bytes of the 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known, self.words = {"": b""}, {"": b""}
-        new = set(chain.from_iterable(split)).difference(self.known)
         plain, other = [], []
-        for c in new:
+        for c in self.known.missing(chain.from_iterable(split)):
             m = self.simple(c)
             if m:
                 plain.append((c, m[1].lower(), m[2]))
             else:
                 other.append(c)
         self._learn_words({w for _, a, b in plain for w in (a, b)})
-        for c, a, b in plain:
-            self.known[c] = self.words[a] + self.words[b]
-        self.known.update((c, x.tobytes()) for c, x in zip(other, self._ids(other)))
+        words = self.words
+        found = {c: words[a] + words[b] for c, a, b in plain}
+        found.update((c, x.tobytes()) for c, x in zip(other, self._ids(other)))
+        self.known.learn(found)
         known = self.known.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in split]
+        out = [b"".join(map(known, chunks)) for chunks in split]
+        self.known.tidy()
+        self.words.tidy()
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -132,8 +164,9 @@ def best_widths(values):
 
 
 def _packed(values, width):
-    bits = (values[:, None] >> np.arange(width)) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    raw = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
+    bits = np.unpackbits(raw, axis=1, count=width, bitorder="little")
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def _unpacked(data, n, width):
@@ -227,22 +260,23 @@ class Writer:
         self.at += len(data)
 
     def add(self, doc_id, ids):
+        """A document and the bytes of its ids."""
         self.docs.append((doc_id, self.n))
         self.waiting.append(ids)
-        self.n += len(ids)
-        self.n_waiting += len(ids)
+        self.n += len(ids) // 4
+        self.n_waiting += len(ids) // 4
         if self.n_waiting >= SEGMENT:
             self._flush(SEGMENT)
 
     def _flush(self, least):
-        ids = np.concatenate(self.waiting) if self.waiting else np.zeros(0, np.uint32)
+        ids = np.frombuffer(b"".join(self.waiting), "<u4")
         at = 0
         while at < len(ids) and len(ids) - at >= least:
             data = encode_segment(ids[at : at + SEGMENT])
             self.segments.append((self.at, len(data)))
             self._put(data)
             at += SEGMENT
-        self.waiting, self.n_waiting = [ids[at:]], max(0, len(ids) - at)
+        self.waiting, self.n_waiting = [ids[at:].tobytes()], len(ids) - at
 
     def close(self):
         self._flush(1)
@@ -313,7 +347,7 @@ def write(docs, path, folder=None, end_id=END_ID):
         head = next(batches, None)
         if head is None:
             return
-        encode, end = _encoder(path), np.array([end_id], np.uint32)
+        encode, end = _encoder(path), struct.pack("<I", end_id)
         with new_file(folder, ".dac") as (uri, out):
             writer = Writer(out)
             while head is not None:
@@ -323,8 +357,7 @@ def write(docs, path, folder=None, end_id=END_ID):
                         data[lo:hi].tobytes().decode() for lo, hi in zip(offsets, offsets[1:])
                     ]
                     for i, ids in enumerate(encode(texts)):
-                        ids = np.concatenate([np.frombuffer(ids, np.uint32), end])
-                        writer.add(doc_ids[row + i], ids)
+                        writer.add(doc_ids[row + i], ids + end)
                 head = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict(

@@ -113,3 +113,21 @@ def test_literals_of_special_pieces(spark):
     assert [tuple(r) for r in found] == [
         (i, starts[i], len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)
     ]
+
+
+def test_memory_is_bounded_by_bytes(monkeypatch):
+    """Chunks of 10 KB without blanks are encoded and not kept; the rest turns over."""
+    monkeypatch.setattr(token_files, "MEMORY_BYTES", 20_000)
+    encode = token_files._Encoder(PATH)
+    rng = random.Random(9)
+    plain = Tokenizer.from_file(PATH)
+    for _ in range(12):
+        long = "".join(rng.choice("漢字かな交じ文字列") for _ in range(3400))
+        short = " ".join("".join(rng.choice("abcde*&.,") for _ in range(6)) for _ in range(60))
+        for text in (long, short, long + " " + short):
+            want = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encode([text])[0], np.int32).tolist() == want
+        for memory in (encode.known, encode.words):
+            held = sum(len(k) + len(v) for k, v in memory.older.items())
+            assert held <= 20_000 and memory.size <= 20_000
+            assert all(len(k) <= token_files.LONGEST_KEY for k in memory.older)
