@@ -98,15 +98,37 @@ class _Encoder:
         # letters of one code point, that no normal form joins or takes apart
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)\Z").match
         self.known, self.words = _Memory(MEMORY_BYTES), _Memory(MEMORY_BYTES // 2)
-
-    def _ids(self, texts):
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.word_tokenizer = self._for_words(path, vocabulary)
+
+    def _for_words(self, path, vocabulary):
+        """The tokenizer without the steps that do nothing to lower-case words of single
+        letters between blanks, if it then gives the same ids for words of its pieces."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        light = Tokenizer.from_file(path)
+        light.normalizer = None
+        light.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        pieces = [p.removesuffix("</w>").lower() for p in sorted(vocabulary)[::11]]
+        letters = "".join(c for c in map(chr, range(0xDF, 0x100)) if c.isalpha())
+        words = [p for p in pieces if p and self.simple(p)]
+        words += [a + letters[i] + b for i in range(len(letters)) for a, b in zip(words, words[1:40])]
+        sample = [" ".join(words)]
+        same = self._ids(sample)[0].tolist() == self._ids(sample, light)[0].tolist()
+        return light if same else self.tokenizer
+
+    def _ids(self, texts, tokenizer=None):
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.int32) for x in found]
 
     def _learn_words(self, words):
         words, found = list(self.words.missing(words)), {}
         texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        for i, ids in enumerate(self._ids(texts)):
+        for i, ids in enumerate(self._ids(texts, self.word_tokenizer)):
             some = words[500 * i : 500 * i + 500]
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(ends) != len(some):  # not the kind of tokenizer that marks ends
@@ -260,7 +282,10 @@ class Writer:
         self.at += len(data)
 
     def add(self, doc_id, ids):
-        """A document and the bytes of its ids."""
+        self.add_bytes(doc_id, np.asarray(ids, "<u4").tobytes())
+
+    def add_bytes(self, doc_id, ids):
+        """A document and its ids as little-endian bytes."""
         self.docs.append((doc_id, self.n))
         self.waiting.append(ids)
         self.n += len(ids) // 4
@@ -357,7 +382,7 @@ def write(docs, path, folder=None, end_id=END_ID):
                         data[lo:hi].tobytes().decode() for lo, hi in zip(offsets, offsets[1:])
                     ]
                     for i, ids in enumerate(encode(texts)):
-                        writer.add(doc_ids[row + i], ids + end)
+                        writer.add_bytes(doc_ids[row + i], ids + end)
                 head = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict(
