@@ -193,10 +193,11 @@ def display_rows(readings, n=200, order=("timestamp", "mote_id")):
 
 
 def systematic_sample(
-    df, at, order, first=3, every=50_000, most=10, rows_per_slice=ROWS_PER_SLICE
+    df, at, order, first=3, every=50_000, most=10, rows_per_slice=ROWS_PER_SLICE, ties=()
 ):
-    """The first rows, then every n-th, at most ``most`` of them, in table order."""
-    numbered = positions(df, [], at, order, "position", rows_per_slice)
+    """The first rows, then every n-th, at most ``most`` of them, in table order; ``ties`` as
+    in ``position_split``."""
+    numbered = positions(df, [], at, order, "position", rows_per_slice, ties)
     chosen = (F.col("position") < first) | (F.col("position") % every == 0)
     return numbered.filter(chosen).orderBy("position").limit(most)
 

@@ -181,10 +181,11 @@ def with_fallback_time(readings, years):
     return readings.withColumn("updated_timestamp", F.coalesce("updated_timestamp", moved))
 
 
-def position_split(df, at, order, ratio=0.8, rows_per_slice=ROWS_PER_SLICE):
-    """The first share of the rows in table order, and the rest."""
+def position_split(df, at, order, ratio=0.8, rows_per_slice=ROWS_PER_SLICE, ties=()):
+    """The first share of the rows in table order, and the rest; ``ties`` are the columns of
+    the order along which a burst at one ``at`` is cut."""
     _check_ratio(ratio)
-    numbered = positions(df, [], at, order, "_position", rows_per_slice)
+    numbered = positions(df, [], at, order, "_position", rows_per_slice, ties)
     limit = int(df.count() * ratio)
     return (
         numbered.filter(F.col("_position") < limit).drop("_position"),

@@ -337,6 +337,15 @@ def forest_scores(spark, sf_dir):
     return found.drop("timestamp", "decision")
 
 
+@query("m6_trained_scores")
+def trained_scores(spark, sf_dir):
+    """Train 100 trees on the table and return score, flag and severity of every row; the
+    tests compare decisions with a plain walk through the nodes."""
+    features = _features(spark, sf_dir)
+    found = forest.predict(features, forest.fit(features, _KEY))
+    return found.select(*_KEY, "decision", "anomaly_score", "is_anomaly", "severity")
+
+
 @query(
     "m5_contamination",
     sql(

@@ -107,7 +107,9 @@ def position_split(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events").select(
         "event_id", "ts", times.micros(F.col("ts")).alias("at")
     )
-    historical, incremental = remap.position_split(events, "at", ["ts", "event_id"])
+    historical, incremental = remap.position_split(
+        events, "at", ["ts", "event_id"], ties=["event_id"]
+    )
     return (
         historical.withColumn("historical", F.lit(True))
         .unionByName(incremental.withColumn("historical", F.lit(False)))

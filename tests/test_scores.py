@@ -158,6 +158,29 @@ def test_path_lengths_against_a_plain_walk(spark):
         assert length == pytest.approx(total / 5)
 
 
+def test_decisions_against_a_plain_walk(spark):
+    """What a trained forest decides about each row, worked out node by node."""
+    df = training(spark, 500)
+    trained = forest.fit(df, key=["row"], n_trees=7)
+    table = {(n["tree"], n["node"]): n for n in trained.nodes}
+    got = forest.decide(df, trained).collect()
+    means = {c: np.mean([r[c] for r in got]) for c in trained.columns}
+    widths = {c: np.std([r[c] for r in got]) for c in trained.columns}
+    for row in got[::5]:
+        point = [(row[c] - means[c]) / widths[c] for c in trained.columns]
+        total = 0.0
+        for tree in range(7):
+            n = table[tree, 0]
+            while n["feature"] >= 0:
+                side = "left" if point[n["feature"]] <= n["threshold"] else "right"
+                n = table[tree, n[side]]
+            total += n["depth"] + float(forest.mean_path(n["size"]))
+        score = 2.0 ** (-total / 7 / float(forest.mean_path(trained.sample)))
+        assert row["decision"] == pytest.approx(-score - trained.offset, abs=1e-9)
+    flagged = sum(r["decision"] < 0 for r in got)
+    assert flagged == 25  # five per cent of the rows it was trained on
+
+
 def test_mean_path():
     assert list(forest.mean_path([0, 1, 2])) == [0.0, 0.0, 1.0]
     assert forest.mean_path(256) == pytest.approx(10.2448, abs=1e-3)

@@ -147,6 +147,20 @@ def test_position_split_and_sample(spark):
         remap.position_split(df, "at", ["at"], 1.0)
 
 
+def test_position_split_of_a_burst(spark):
+    """All rows at one instant are cut along the tie column, and no task gets them all."""
+    df = spark.range(900).selectExpr("id * 7 % 900 as id", "5L as at")
+    cut, was_cut = slices.cut(df, [], "at", 64, ["id"])
+    assert was_cut and cut.groupBy("_slice").count().agg({"count": "max"}).first()[0] <= 130
+    first, rest = remap.position_split(df, "at", ["at", "id"], 0.5, 64, ["id"])
+    assert sorted(r["id"] for r in first.collect()) == list(range(450))
+    assert rest.agg({"id": "min"}).first()[0] == 450
+    sample = profile.systematic_sample(
+        df, "at", ["at", "id"], every=100, rows_per_slice=64, ties=["id"]
+    )
+    assert [r["id"] for r in sample.collect()] == [0, 1, 2, *range(100, 800, 100)]
+
+
 def test_voltage_leak_between_motes(spark):
     data = [
         (1, 1, None), (1, 2, 2.5), (1, 3, None),
