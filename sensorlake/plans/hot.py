@@ -5,11 +5,12 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from sensorlake.functions import times
-from sensorlake.operators import profile, timeseries
+from sensorlake.operators import profile, rollups, timeseries
 from sensorlake.plans import tables
 from sensorlake.plans.registry import query
 from sensorlake.plans.tables import sql
 from sensorlake.schemas import METRICS
+from sensorlake.session import scratch_path
 
 _VALID = ", ".join(f"'{m}'" for m in METRICS)
 _WIDE = ", ".join(f"max(CASE WHEN _field = '{m}' THEN _value END) AS {m}" for m in METRICS)
@@ -498,3 +499,38 @@ def field_share(spark, sf_dir):
     total = points.agg(F.count(F.lit(1)).alias("n")).scalar()
     counts = points.groupBy("_field").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("_field", profile.share(F.col("n"), total).alias("percent"))
+
+
+def _rolled(spark, sf_dir):
+    """Rollups of the whole table, the points of the edges, and the clock."""
+    points, as_of = _args(spark, sf_dir)
+    path = scratch_path(spark, "rollups")
+    rollups.write(points, path)
+    return rollups.read(spark, path), points, as_of
+
+
+@query(
+    "a1_from_rollups",
+    sql(" UNION ALL ".join(_summary_sql(m, _range("30 DAY")) for m in METRICS), "points", "clock"),
+)
+def summary_from_rollups(spark, sf_dir):
+    parts, points, as_of = _rolled(spark, sf_dir)
+    each = [rollups.metric_summary(parts, points, m, as_of, "-30d") for m in METRICS]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
+
+@query(
+    "a7_from_rollups",
+    sql(
+        """SELECT mote_id, time_bucket(INTERVAL 1 MINUTE, _time) + INTERVAL 1 MINUTE AS _time,
+           round(avg(_value), 6) AS _value FROM points, clock
+           WHERE _field = 'temperature' AND _time >= as_of - INTERVAL 30 DAY AND _time < as_of
+           GROUP BY 1, 2""",
+        "points",
+        "clock",
+    ),
+)
+def minutes_from_rollups(spark, sf_dir):
+    parts, points, as_of = _rolled(spark, sf_dir)
+    means = rollups.minute_mean(parts, points, "temperature", as_of, "-30d")
+    return means.withColumn("_value", F.round("_value", 6))
