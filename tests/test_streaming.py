@@ -212,6 +212,7 @@ def test_dedup_state(spark, tmp_path):
     for i in range(6):
         put(topic, f"f{i}", message(1, i, temperature=i / 3), message(1, 0, temperature=99.0),
             message(2, i), message(1, i, temperature=77.0))
+        os.utime(os.path.join(topic, f"f{i}"), (1000 + i, 1000 + i))  # files of one time have no order
     first, _ = go()
     assert [r[2] for r in first if r[0] == 1] == [i / 3 for i in range(6)]
     assert len(first) == 12
@@ -227,6 +228,8 @@ def test_order_across_batches(spark, tmp_path):
     put(topic, "b", message(1, 2, epoch=2), message(2, 1, epoch=8), message(2, 2, epoch=10))
     put(topic, "c", message(None, 3, epoch=4), message(1, 3, epoch=1),
         message(None, 3, epoch=1), message(7, 1)[:-2])
+    for i, name in enumerate("abc"):
+        os.utime(os.path.join(topic, name), (1000 + i, 1000 + i))
     stream = messages.read_files(spark, topic, files_per_batch=1)
     jobs.write_order_counts(stream, out, str(tmp_path / "cp")).awaitTermination()
     sums = spark.read.parquet(out).groupBy("key").agg(F.sum("n_messages"), F.sum("n_out_of_order"))
