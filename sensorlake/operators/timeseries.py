@@ -144,13 +144,14 @@ def latest_points(points, as_of, start="-1h", mote_id=None):
 
 def latest_reading(points, as_of, start="-1h"):
     """One row per mote: the newest value of each metric and when it was last seen."""
-    return (
-        latest_values(points, as_of, start)
-        .groupBy("mote_id")
-        .agg(
-            *[F.max(F.when(F.col("_field") == m, F.col("_value"))).alias(m) for m in METRICS],
-            F.max("_time").alias("last_seen"),
-        )
+    return wide_latest(latest_values(points, as_of, start))
+
+
+def wide_latest(values):
+    """Newest values of the fields of each mote on one row."""
+    return values.groupBy("mote_id").agg(
+        *[F.max(F.when(F.col("_field") == m, F.col("_value"))).alias(m) for m in METRICS],
+        F.max("_time").alias("last_seen"),
     )
 
 

@@ -11,6 +11,7 @@ from sensorlake.plans.registry import query
 from sensorlake.plans.tables import sql
 from sensorlake.schemas import METRICS
 from sensorlake.session import scratch_path
+from sensorlake.streaming.latest import LatestTable
 
 _VALID = ", ".join(f"'{m}'" for m in METRICS)
 _WIDE = ", ".join(f"max(CASE WHEN _field = '{m}' THEN _value END) AS {m}" for m in METRICS)
@@ -534,3 +535,44 @@ def minutes_from_rollups(spark, sf_dir):
     parts, points, as_of = _rolled(spark, sf_dir)
     means = rollups.minute_mean(parts, points, "temperature", as_of, "-30d")
     return means.withColumn("_value", F.round("_value", 6))
+
+
+def _latest_table(spark, sf_dir):
+    """The newest values after batches that come out of order, one of them twice."""
+    points, as_of = _args(spark, sf_dir)
+    latest = LatestTable(spark, scratch_path(spark, "latest"))
+    for batch, part in enumerate((2, 0, 1)):
+        some = points.filter(F.col("event_id") % 3 == part)
+        for _ in range(1 + batch % 2):
+            latest.upsert(some, "load", batch)
+    latest.fold()
+    return latest, as_of
+
+
+@query(
+    "a25_from_latest_table",
+    sql(
+        f"""SELECT mote_id, {_WIDE}, max(_time) AS last_seen FROM (
+            SELECT mote_id, _field, arg_max(_value, _time) AS _value, max(_time) AS _time
+            FROM points, clock WHERE {_range('30 DAY')} GROUP BY 1, 2)
+            GROUP BY mote_id""",
+        "points",
+        "clock",
+    ),
+)
+def reading_from_latest_table(spark, sf_dir):
+    latest, as_of = _latest_table(spark, sf_dir)
+    return latest.reading(as_of, "-30d")
+
+
+@query(
+    "l8_from_latest_table",
+    sql(
+        """SELECT mote_id, _field, _value, _time FROM points
+           ORDER BY _time DESC, mote_id DESC, _field DESC LIMIT 1""",
+        "points",
+    ),
+)
+def newest_from_latest_table(spark, sf_dir):
+    latest, _ = _latest_table(spark, sf_dir)
+    return latest.newest_record().drop("measurement")

@@ -20,6 +20,7 @@ from sensorlake.session import scratch_path
 from sensorlake.sources.archive import read_mote_archive
 from sensorlake.sources.snapshots import SnapshotTable
 from sensorlake.streaming import jobs, messages
+from sensorlake.streaming.latest import LatestTable, write_latest
 from sensorlake.streaming.sinks import (
     REPORT,
     DualSink,
@@ -567,3 +568,21 @@ def resumed_inside_file(spark, sf_dir):
         lambda a, b: a.unionByName(b),
         [df.select(F.lit(name).alias("store"), "n") for name, df in counts.items()],
     )
+
+
+@query(
+    "a25_stream_latest",
+    f"""SELECT mote_id, _field, max(_time) AS _time, arg_max(_value, _time) AS _value
+        FROM {_HOT} GROUP BY 1, 2""",
+)
+def stream_latest(spark, sf_dir):
+    """The table of newest values that a stream keeps up, with late and repeated messages:
+    every other one comes after all the rest, and then all come once more."""
+    topic, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    path = scratch_path(spark, "latest")
+    sent = _sent(spark, sf_dir)
+    for part in (sent.filter("event_id % 2 = 1"), sent.filter("event_id % 2 = 0"), sent):
+        messages.write_files(part, topic, ("key", "event_id", "copy"))
+        stream = messages.read_files(spark, topic)
+        write_latest(stream, path, checkpoint).awaitTermination()
+    return LatestTable(spark, path).rows().drop("measurement")

@@ -183,11 +183,22 @@ class SnapshotTable:
         now = self.snapshot()
         if source is not None and now["sources"].get(source, -1) >= batch:
             return now["version"]
+        return self.commit(self._load(rows), source, batch)
+
+    def _load(self, rows):
+        """Writes rows into a folder of their own, where no reader looks yet."""
         load = uuid.uuid4().hex
         _balanced(rows, self.partitions).write.option("compression", "snappy").partitionBy(
             *self.partitions
         ).parquet(f"{self.path}/load={load}")
-        return self.commit(self._found(load), source, batch)
+        return self._found(load)
+
+    def replace(self, files, rows):
+        """``rows`` in place of what some live files hold, in one commit. ``files`` is a
+        written table of theirs. Conflict if another commit took one of them out."""
+        none = F.lit(None).cast("long").alias("bytes")
+        gone = files.select(F.lit("remove").alias("op"), "path", none, "folder")
+        return self.commit(self._load(rows).union(gone))
 
     def read(self, version=None, files=None):
         """The rows of a version, or of some of its files."""
