@@ -80,6 +80,12 @@ def scaled(features, scale):
     )
 
 
+def draw_of(key, seed=42):
+    """A row's number between 0 and ``HASHES`` in a draw, by its key."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+
+
 def seeded_sample(df, n, key, seed=42, rows_per_slice=ROWS_PER_SLICE):
     """n rows without replacement, the same ones for any partitioning.
 
@@ -88,9 +94,7 @@ def seeded_sample(df, n, key, seed=42, rows_per_slice=ROWS_PER_SLICE):
     the bound should ever leave too few, all rows are numbered. The key should be
     unique, as equal keys follow each other.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])
-    draw = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
-    hashed = df.withColumn("_draw", draw)
+    hashed = df.withColumn("_draw", draw_of(key, seed))
     total = df.count()
     share = min(1.0, (n + 6 * n**0.5 + 100) / max(total, 1))
     candidates = hashed.filter(F.col("_draw") < int(share * HASHES))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import times
 from sensorlake.operators import profile, rollups, timeseries
+from sensorlake.operators.distinct import DistinctMotes
 from sensorlake.plans import tables
 from sensorlake.plans.registry import query
 from sensorlake.plans.tables import sql
@@ -576,3 +577,50 @@ def reading_from_latest_table(spark, sf_dir):
 def newest_from_latest_table(spark, sf_dir):
     latest, _ = _latest_table(spark, sf_dir)
     return latest.newest_record().drop("measurement")
+
+
+def _seen_motes(spark, sf_dir):
+    """Bitmaps of the motes in two loads; every third mote has a name for an id."""
+    points, as_of = _args(spark, sf_dir)
+    third = F.col("mote_id").cast("long") % 3 == 0
+    named = F.when(third, F.concat(F.lit("mote-"), "mote_id")).otherwise(F.col("mote_id"))
+    points = points.withColumn("mote_id", named)
+    motes = DistinctMotes(spark, scratch_path(spark, "motes"))
+    for load in range(2):
+        motes.add(points.filter(F.col("event_id") % 2 == load))
+    return motes, points, as_of
+
+
+_SPANS = {"15m": "15 MINUTE", "24h": "24 HOUR", "9d": "9 DAY", "30d": "30 DAY"}
+
+
+@query(
+    "a2_from_bitmaps",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT '{k}' AS span, count(DISTINCT mote_id) AS n_motes FROM points, clock
+                WHERE {_range(v)}""" for k, v in _SPANS.items()
+        ),
+        "points",
+        "clock",
+    ),
+)
+def motes_from_bitmaps(spark, sf_dir):
+    motes, points, as_of = _seen_motes(spark, sf_dir)
+    each = [
+        motes.count(points, as_of, f"-{k}").select(F.lit(k).alias("span"), "n_motes")
+        for k in _SPANS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), each)
+
+
+@query(
+    "a12_motes_per_day",
+    sql(
+        """SELECT CAST(_time AS DATE) AS date, count(DISTINCT mote_id) AS n_motes
+           FROM points GROUP BY 1""",
+        "points",
+    ),
+)
+def motes_per_day(spark, sf_dir):
+    return _seen_motes(spark, sf_dir)[0].per_day()

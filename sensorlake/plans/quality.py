@@ -4,11 +4,14 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from sensorlake.operators import clean, features, joins, profile, remap, timeseries
+from sensorlake.operators import (
+    clean, features, joins, profile, remap, samples, sketches, timeseries
+)
 from sensorlake.plans import tables
 from sensorlake.plans.registry import query
 from sensorlake.plans.tables import sql
 from sensorlake.schemas import METRICS, PHYSICS_BOUNDS, VALID_RANGES
+from sensorlake.session import scratch_path
 
 
 def _double(value):
@@ -349,6 +352,50 @@ def seeded_sample(spark, sf_dir):
     return features.seeded_sample(events, 500, ["event_id"])
 
 
+@query(
+    "l7_merged_sample",
+    """SELECT event_id, user_id, value FROM events
+       WHERE ts < (SELECT CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) FROM events)
+       ORDER BY substr(md5('42|' || event_id), 1, 13), event_id LIMIT 500""",
+)
+def merged_sample(spark, sf_dir):
+    """The sample of all days but the last, from what three loads kept of each day."""
+    events = tables.table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
+    path, last = scratch_path(spark, "samples"), tables.event_clock(spark, sf_dir).date()
+    for load in range(3):
+        samples.write(events.filter(F.col("event_id") % 3 == load), path, 500, ["event_id"], "ts")
+    kept = samples.read(spark, path, events.schema)
+    days = (date(1970, 1, 1), last - timedelta(days=1))
+    return samples.sample(kept, 500, ["event_id"], days).drop("ts")
+
+
+@query("a11_box_from_sketches")
+def box_from_sketches(spark, sf_dir):
+    """The box summary from sketches per mote and day: quartiles within the sketches' error."""
+    dense, path = tables.dense(spark, sf_dir), scratch_path(spark, "sketches")
+    sketches.write(timeseries.to_points(dense, "timestamp"), path)
+    return sketches.box_summary(sketches.read(spark, path), "temperature")
+
+
+@query(
+    "a15_extremes_from_sketches",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT '{m}' AS field, CAST(count({m}) AS BIGINT) AS n, min({m}) AS min,
+                max({m}) AS max FROM dense""" for m in METRICS
+        ),
+        "dense",
+    ),
+)
+def extremes_from_sketches(spark, sf_dir):
+    dense, path = tables.dense(spark, sf_dir), scratch_path(spark, "sketches")
+    sketches.write(timeseries.to_points(dense, "timestamp"), path)
+    found = sketches.merged(sketches.read(spark, path), "_field")
+    return found.select(
+        F.col("_field").alias("field"), "n", F.col("least").alias("min"), F.col("most").alias("max")
+    )
+
+
 @query(
     "j1_with_location",
     sql(
