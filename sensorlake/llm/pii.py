@@ -28,7 +28,7 @@ whatever their names.
 
 from pyspark.sql import functions as F
 
-from sensorlake.llm.spans import let, matches
+from sensorlake.llm.spans import let, matches, substituted
 from sensorlake.session import written
 
 KEY = "surrogates"
@@ -75,7 +75,10 @@ def entities(text):
     def named(m):
         def told(kind):
             digits = F.regexp_replace(m["part"], r"\D", "")
-            own = F.when(kind.isin("phone", "card"), digits).otherwise(F.lower(m["part"]))
+            lower = F.lower(m["part"])
+            # a title with and without its stop is one
+            name = F.regexp_replace(lower, r"^(\S+)\. ", "$1 ")
+            own = F.when(kind.isin("phone", "card"), digits).when(kind == "name", name).otherwise(lower)
             return F.struct(
                 m["start"].alias("start"), m["end"].alias("end"), kind.alias("kind"),
                 m["part"].alias("value"), own.alias("id"),
@@ -334,25 +337,13 @@ def replaced(rows, text, keep, key=KEY):
         found = found.join(by_row, "uid", "left").withColumn("tweaks", F.coalesce("tweaks", none))
     else:
         found = found.withColumn("tweaks", none)
-    text = F.col("text")
 
     def new(e):
         own = F.concat_ws("|", e["kind"], e["id"])
         tweak = F.coalesce(F.element_at(F.col("tweaks"), own), F.lit(0))
         return respelled(e["kind"], e["value"], surrogate(e["kind"], e["id"], tweak, key))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(done, e):
-        gap = F.substring(text, done["at"] + 1, e["start"] - done["at"])
-        return F.struct(e["end"].alias("at"), F.concat(done["out"], F.array(gap, new(e))).alias("out"))
-
-    def joined(done):
-        rest = F.substring(text, done["at"] + 1, F.char_length(text))
-        return F.array_join(F.concat(done["out"], F.array(rest)), "")
-
-    changed = F.when(F.size("found") > 0, F.aggregate("found", start, step, joined)).otherwise(text)
-    return found.select(*keep, "found", changed.alias("text"))
+    return substituted(found, "text", "found", new).select(*keep, "found", "text")
 
 
 def surrogates(docs, key=KEY):
