@@ -136,6 +136,24 @@ def test_earliest_rows_are_in_order(spark):
         assert [tuple(r) for r in got] == expected[:n]
 
 
+def test_few_rows_are_numbered_for_the_first(spark, monkeypatch):
+    """Times may be null, which come first; only candidates of the first rows are numbered."""
+    df = spark.range(40_000).selectExpr(
+        "if(id < 5, null, cast(timestamp'2024-01-01' as timestamp_ntz)"
+        " + make_dt_interval(0, 0, 0, id div 2)) as timestamp", "id * 7 % 40000 as mote_id",
+    )
+    numbered = []
+
+    def positions(rows, *args):
+        numbered.append(rows.count())
+        return slices.positions(rows, *args)
+
+    monkeypatch.setattr(profile, "positions", positions)
+    got = profile.earliest_rows(df, 30, "timestamp", ("mote_id",), 64).collect()
+    assert got == df.orderBy("timestamp", "mote_id").limit(30).collect()
+    assert numbered[0] < 100
+
+
 def test_position_split_and_sample(spark):
     df = spark.range(1000).selectExpr("id", "id * 3 as at")
     first, rest = remap.position_split(df, "at", ["at"], 0.8, 64)
