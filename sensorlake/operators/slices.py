@@ -36,24 +36,28 @@ def cut(df, keys, at, rows_per_slice=ROWS_PER_SLICE, ties=()):
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= rows_per_slice:
         return sliced, False  # the usual case costs one aggregate
     level = 0
-    while columns:
-        large = written(_too_large(sliced, keys, columns[0], rows_per_slice), "large-groups")
-        found = large.count()
-        if not found:
-            columns.pop(0)
-            continue
+    while True:
+        # one aggregate for all columns that are left; the first that still cuts a group is next
+        large = written(_too_large(sliced, keys, columns, rows_per_slice), "large-groups")
+        found = large.agg(*[F.count_if(F.col(f"_p{i}") > 0) for i in range(len(columns))]).first()
+        at = next((i for i, n in enumerate(found) if n), None)
+        if at is None:
+            return sliced, level > 0
         if level == LEVELS:
             raise ValueError(f"groups of more than {rows_per_slice} rows are left after all cuts")
         level += 1
-        few = found <= BROADCAST_ROWS
+        large = large.filter(F.col(f"_p{at}") > 0).withColumn("_parts", F.col(f"_p{at}"))
+        large = large.drop(*[f"_p{i}" for i in range(len(columns))])
+        few, columns = found[at] <= BROADCAST_ROWS, columns[at:]
         large = F.broadcast(large) if few else large
         points = _cut_points(sliced.join(large, _same(keys)), keys, columns[0])
         points = written(points, "cut-points")
+        most = points.agg(F.max(F.size("_cuts"))).first()[0]
         points = F.broadcast(points) if few else points
-        sliced = sliced.join(points, _same(keys), "left").select(
-            *df.columns, (F.col(SLICE) * (2 * PARTS) + _part(columns[0])).alias(SLICE)
+        parted = _with_part(sliced.join(points, _same(keys), "left"), columns[0], most)
+        sliced = parted.select(
+            *df.columns, (F.col(SLICE) * (2 * PARTS) + F.col("_part")).alias(SLICE)
         )
-    return sliced, level > 0
 
 
 def _same(keys):
@@ -67,13 +71,23 @@ def _renamed(table, keys):
     return table.withColumnsRenamed(names)
 
 
-def _too_large(sliced, keys, at, rows_per_slice):
+def _too_large(sliced, keys, columns, rows_per_slice):
+    """Groups that are too large, with the parts ``_p0``, ``_p1``, ... into which each of the
+    columns would cut them; 0 where it cannot."""
     groups = sliced.groupBy(*keys, SLICE).agg(
-        F.count(at).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")
+        *[f(c).alias(f"{name}{i}") for i, c in enumerate(columns)
+          for name, f in (("_n", F.count), ("_lo", F.min), ("_hi", F.max))]
     )
-    large = groups.filter((F.col("_n") > rows_per_slice) & (F.col("_hi") > F.col("_lo")))
-    parts = F.least(F.ceil(F.col("_n") / rows_per_slice), F.lit(PARTS)).cast("int")
-    return _renamed(large.select(*keys, SLICE, parts.alias("_parts")), keys)
+
+    def parts(i):
+        n = F.col(f"_n{i}")
+        large = (n > rows_per_slice) & (F.col(f"_hi{i}") > F.col(f"_lo{i}"))
+        within = F.least(F.ceil(n / rows_per_slice), F.lit(PARTS)).cast("int")
+        return F.when(large, within).otherwise(0).alias(f"_p{i}")
+
+    large = groups.select(*keys, SLICE, *[parts(i) for i in range(len(columns))])
+    some = F.greatest(*[F.col(f"_p{i}") for i in range(len(columns))], F.lit(0)) > 0
+    return _renamed(large.filter(some), keys)
 
 
 def _cut_points(rows, keys, at):
@@ -86,26 +100,25 @@ def _cut_points(rows, keys, at):
         F.sequence(F.lit(1), F.col("_parts") - 1),
         lambda i: F.element_at("_all", F.floor(i * PARTS / F.col("_parts")).cast("int")),
     )
-    return _renamed(groups.select(*keys, SLICE, chosen.alias("_cuts")), keys)
+    cuts = F.array_distinct(chosen).alias("_cuts")
+    return _renamed(groups.select(*keys, SLICE, cuts), keys)
 
 
-def _part(at):
-    """Cut points below the row's value plus cut points up to it, by halving steps.
+def _with_part(rows, at, most):
+    """Add ``_part``: twice the cut points below the row's value, and one more if the value is
+    itself a cut point, so that a value of many rows does not keep its neighbours in a large
+    slice. Rows without cut points or without a value are in part 0.
 
-    Counting both gives a value that is itself a cut point a part of its own, so that
-    a value of many rows does not keep its neighbours in a large slice.
+    The cut points of a row, at most ``most``, are searched by halving steps. Each step is a
+    projection of its own: unlike a function over the array they are compiled.
     """
-    steps = F.array(*[F.lit(PARTS >> i) for i in range(1, PARTS.bit_length())])
-    size = F.coalesce(F.size("_cuts"), F.lit(0))
-
-    def count(within):
-        def further(passed, step):
-            inside = (passed + step <= size) & within(F.get("_cuts", passed + step - 1))
-            return F.when(inside, passed + step).otherwise(passed)
-
-        return F.aggregate(steps, F.lit(0), further)
-
-    return count(lambda c: c < F.col(at)) + count(lambda c: c <= F.col(at))
+    rows = rows.withColumn("_part", F.lit(0))
+    for i in reversed(range((most or 0).bit_length())):
+        further = F.col("_part") + (1 << i)
+        below = F.get("_cuts", further - 1) < F.col(at)
+        rows = rows.withColumn("_part", F.when(below, further).otherwise(F.col("_part")))
+    hit = F.coalesce(F.get("_cuts", F.col("_part")) == F.col(at), F.lit(False))
+    return rows.withColumn("_part", 2 * F.col("_part") + hit.cast("int"))
 
 
 def _columns(order):
@@ -193,8 +206,7 @@ def exact_quantiles(df, groups, column, probabilities, rows_per_slice=ROWS_PER_S
     groups = list(groups)
     present = df.filter(F.col(column).isNotNull()).select(*groups, F.col(column).alias("_v"))
     sliced, was_cut = cut(present, groups, "_v", rows_per_slice)
-    counted = sliced.groupBy(*groups, SLICE, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    totals = counted.groupBy(*groups, SLICE).agg(F.sum("_n").alias("_m"))
+    totals = sliced.groupBy(*groups, SLICE).agg(F.count(F.lit(1)).alias("_m"))
     every = W.partitionBy(*groups)
     until = every.orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     rank = [F.lit(p) * (F.col("_total") - 1) for p in probabilities]
@@ -217,8 +229,13 @@ def exact_quantiles(df, groups, column, probabilities, rows_per_slice=ROWS_PER_S
         .select(*groups, SLICE, "_total", "_before")
     )
     if was_cut:
-        ranked = _with_slice_table(counted, needed, groups).filter(F.col("_total").isNotNull())
+        # only the values of these slices move
+        ranges = _renamed(written(needed, "ranges"), groups)
+        held = sliced.join(ranges, _same(groups))
+        counted = held.groupBy(*groups, SLICE, "_v", "_before", "_total")
+        ranked = counted.agg(F.count(F.lit(1)).alias("_n"))
     else:
+        counted = sliced.groupBy(*groups, SLICE, "_v").agg(F.count(F.lit(1)).alias("_n"))
         ranked = counted.withColumn("_before", F.lit(0).cast("bigint")).withColumn(
             "_total", F.sum("_n").over(W.partitionBy(*groups, SLICE))
         )

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from sensorlake import session
 from sensorlake.operators import clean, profile, remap, slices
 
 
@@ -154,6 +155,31 @@ def test_few_rows_are_numbered_for_the_first(spark, monkeypatch):
     assert numbered[0] < 100
 
 
+def test_cuts_read_the_rows_seldom(spark, monkeypatch):
+    """One pass finds what is too large in any column, and the search for a row's slice is
+    compiled, not a function over an array."""
+    names = []
+
+    def written(df, name):
+        names.append(name)
+        return session.written(df, name)
+
+    monkeypatch.setattr(slices, "written", written)
+    df = spark.range(4000).selectExpr("id", "id div 4 as at", "1L as a", "2L as b")
+    sliced, was_cut = slices.cut(df, [], "at", 1000, ["a", "b", "id"])
+    assert was_cut and names == ["large-groups", "cut-points", "large-groups"]
+    assert "lambda" not in sliced._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_count_only_the_values_of_their_slices(spark):
+    df = spark.range(5000).selectExpr("cast(id * 7 % 5000 as double) as v")
+    found = slices.exact_quantiles(df, [], "v", [0.5], 250)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert np.allclose(found.first()[0], [2499.5])
+    counted = plan.index("Aggregate [_slice")
+    assert counted < plan.index("Join Inner")  # the join is below the count
+
+
 def test_position_split_and_sample(spark):
     df = spark.range(1000).selectExpr("id", "id * 3 as at")
     first, rest = remap.position_split(df, "at", ["at"], 0.8, 64)
