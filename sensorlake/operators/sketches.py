@@ -13,26 +13,58 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import times
 from sensorlake.schemas import MEASUREMENT
+from sensorlake.session import written
 
 #: Size of a sketch and the error of rank that goes with it.
 K = 400
 RANK_ERROR = 0.009
+#: Points per sketch from which merging before the shuffle moves less than the points.
+DENSE = 16
+#: Points that one task sketches, if they are dealt out first.
+POINTS_PER_TASK = 1_000_000
 SCHEMA = (
     "mote_id string, _field string, n long, least double, most double, sketch binary, date date"
 )
 
 
-def write(points, path, measurement=MEASUREMENT):
-    """Adds the points of a load to the sketches at ``path``, a folder per day."""
+def write(points, path, measurement=MEASUREMENT, points_per_task=POINTS_PER_TASK):
+    """Adds the points of a load to the sketches at ``path``, a folder per day.
+
+    Where the sketches hold many points each, the points are merged before they move. Else the
+    sketches would be larger than the points: these are dealt by day then, once, and sketched
+    and written where they arrive. A day of more than ``points_per_task`` points is dealt to
+    several tasks, and a mote and field may have a sketch from each, as from several loads.
+    """
     value = F.col("_value")
     counts = value.isNotNull() & ~F.isnan(value) & F.col("_time").isNotNull()
-    found = points.where((F.col("measurement") == measurement) & counts)
-    daily = found.groupBy("mote_id", "_field", F.col("_time").cast("date").alias("date")).agg(
+    found = points.where((F.col("measurement") == measurement) & counts).select(
+        "mote_id", "_field", "_value", "_time", F.col("_time").cast("date").alias("date")
+    )
+    days = written(
+        found.groupBy("date").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.approx_count_distinct(F.xxhash64("mote_id", "_field")).alias("groups"),
+        ),
+        "days",
+    )
+    n, groups = (total or 0 for total in days.agg(F.sum("n"), F.sum("groups")).first())
+    merge_first = n >= DENSE * groups
+    keys = ["mote_id", "_field", "date"]
+    if not merge_first:
+        parts = F.ceil(F.col("n") / points_per_task).alias("_parts")
+        parts = F.broadcast(days.select("date", parts).where("_parts > 1"))
+        part = F.pmod(F.xxhash64("mote_id", "_time"), F.coalesce("_parts", F.lit(1)))
+        found = (
+            found.join(parts, "date", "left")
+            .select(*keys, "_value", part.alias("_part"))
+            .repartition(-(-n // points_per_task), "date", "_part")
+        )
+    daily = found.groupBy(*keys, *([] if merge_first else ["_part"])).agg(
         F.count(value).alias("n"), F.min(value).alias("least"), F.max(value).alias("most"),
         F.kll_sketch_agg_double(value, F.lit(K)).alias("sketch"),
     )
-    target = f"{path}/load={uuid.uuid4().hex}"
-    daily.hint("rebalance", F.col("date")).write.partitionBy("date").parquet(target)
+    daily = daily.hint("rebalance", F.col("date")) if merge_first else daily.drop("_part")
+    daily.write.partitionBy("date").parquet(f"{path}/load={uuid.uuid4().hex}")
 
 
 def read(spark, path):

@@ -141,6 +141,34 @@ def test_small_groups_are_exact(spark, tmp_path):
     assert [tuple(r) for r in got] == [("1", [1.0, 3.0, 5.0])]
 
 
+def test_few_points_per_sketch_are_dealt_by_day(spark, tmp_path):
+    """Most motes have one point a day, one mote has most of a large day: the points of a day
+    are dealt to several tasks, which write them where they are, and nothing is lost."""
+    path = str(tmp_path / "s")
+    rows = [(MEASUREMENT, str(i), "light", float(i % 97), BEGIN + timedelta(days=i % 3))
+            for i in range(600)]
+    rows += [(MEASUREMENT, "hot", "light", float(i), BEGIN + timedelta(seconds=i)) for i in range(400)]
+    rows += [(MEASUREMENT, None, "light", 7.0, BEGIN), (MEASUREMENT, "1", "light", None, BEGIN)]
+    sketches.write(spark.createDataFrame(rows, POINT), path, points_per_task=100)
+    kept = sketches.read(spark, path)
+    files = kept.groupBy("date", F.input_file_name()).agg(F.sum("n").alias("n")).collect()
+    sizes = defaultdict(list)
+    for day, _, n in files:
+        sizes[day].append(n)
+    whole = [sum(v) for v in sizes.values()]
+    assert sum(whole) == 1001 and max(map(max, sizes.values())) < max(whole) / 2
+    values = defaultdict(list)
+    for _, mote, _, v, _ in rows:
+        if v is not None:
+            values[mote].append(v)
+    got = {r[0]: (r["n"], r["least"], r["most"]) for r in sketches.merged(kept, "mote_id").collect()}
+    assert got == {m: (len(v), min(v), max(v)) for m, v in values.items()}
+    top = sketches.box_summary(kept, "light", 1).first()
+    own = sorted(values["hot"])
+    assert top["mote_id"] == "hot" and (top["min"], top["max"]) == (0.0, 399.0)
+    assert rank_error(own, top["median"], 0.5) <= sketches.RANK_ERROR
+
+
 @pytest.mark.parametrize("n", [1, 40, 200])
 def test_merged_sample_is_that_of_the_whole(spark, tmp_path, n):
     rng = random.Random(5)
