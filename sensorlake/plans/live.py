@@ -35,8 +35,8 @@ _MOVED = tables.MOVED.days
 _WIDE = ", ".join(f"max(CASE WHEN _field = '{m}' THEN _value END) AS {m}" for m in METRICS)
 
 
-def _sent(spark, sf_dir):
-    """Messages with defects and repeats, in event order per mote.
+def _sent(spark, sf_dir, events=None):
+    """Messages with defects and repeats, in event order per mote, of all events or these.
 
     Every 31st is cut off, every 37th lacks its mote, every 41st its metrics, every
     43rd its times, every 47th has an unreadable time. Every 29th is sent twice, the
@@ -44,7 +44,8 @@ def _sent(spark, sf_dir):
     """
     e = F.col("event_id")
     moved = F.col("ts") + F.expr(f"interval {_MOVED} days")
-    rows = tables.table(spark, sf_dir, "events").select(
+    events = tables.table(spark, sf_dir, "events") if events is None else events
+    rows = events.select(
         "event_id",
         F.explode(
             F.when(e % 29 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -72,9 +73,20 @@ def _sent(spark, sf_dir):
     return sent.withColumn("value", F.coalesce(cut, unreadable, F.col("value")))
 
 
-def _topic(spark, sf_dir):
+#: Events per message file; a task sorts the messages of its file.
+_EVENTS_PER_FILE = 500_000
+
+
+def _topic(spark, sf_dir, events_per_file=_EVENTS_PER_FILE):
+    """A folder with all messages; each file holds a range of times, of bounded size however
+    large the row groups of the table are. Files arrive in any order, so events of one time,
+    of which the last counts, stay in one file."""
     path = scratch_path(spark, "topic")
-    messages.write_files(_sent(spark, sf_dir), path, ("key", "event_id", "copy"))
+    events = tables.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    files = -(-events.count() // events_per_file)
+    if files > 1:
+        events = events.repartitionByRange(files, "ts")
+    messages.write_files(_sent(spark, sf_dir, events), path, ("key", "event_id", "copy"))
     return path
 
 

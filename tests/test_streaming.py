@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.operators import timeseries
+from sensorlake.plans import live
 from sensorlake.sources import archive
 from sensorlake.streaming import jobs, messages, sinks
 
@@ -308,3 +309,20 @@ def test_broker_options():
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "100"
     assert messages.kafka_sink_options("b:9092")["topic"] == "sensor_readings"
     assert jobs.batch_trigger() == {"processingTime": "1.0 seconds"}
+
+
+def test_message_files_are_bounded(spark, tmp_path):
+    """One row group becomes several files; events of one time stay in one of them, in order."""
+    events = spark.range(1200).selectExpr(
+        "id as event_id", "id % 7 as user_id", "double(id) as value",
+        "cast(timestamp_seconds(1700000000 + id % 300) as timestamp_ntz) as ts",
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    path = live._topic(spark, str(tmp_path), events_per_file=200)
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    sizes = [r["count"] for r in lines.groupBy("file").count().collect()]
+    assert sum(sizes) == 1200 + len(range(0, 1200, 29))
+    assert len(sizes) > 3 and max(sizes) < 450
+    times = F.from_json("value", messages.MESSAGE)["timestamp"].alias("at")
+    places = lines.select("file", times).filter("at is not null").groupBy("at")
+    assert places.agg(F.countDistinct("file").alias("n")).agg(F.max("n")).first()[0] == 1
