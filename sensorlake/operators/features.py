@@ -10,6 +10,8 @@ from sensorlake.session import written
 
 #: Draws are numbers of 52 bits.
 HASHES = 1 << 52
+#: Rows of a file of prepared features: some seconds of scoring.
+ROWS_PER_FILE = 500_000
 
 
 def time_features(df):
@@ -39,20 +41,23 @@ def medians(df, columns=FEATURES, rows_per_slice=ROWS_PER_SLICE):
     return {r["_field"]: r["quantiles"][0] for r in rows}
 
 
-def prepare_features(readings, keep=("mote_id",), rows_per_slice=ROWS_PER_SLICE):
+def prepare_features(
+    readings, keep=("mote_id",), rows_per_slice=ROWS_PER_SLICE, rows_per_file=ROWS_PER_FILE
+):
     """Six double columns ready for the model, plus the columns to keep.
 
     Rows without any metric and rows with impossible values are dropped; what is
     still missing becomes the column's median, ranked only for columns that need it.
     A metric column that is absent altogether is left out. The rows are written once to
-    the shared folder: the source is read once, whatever follows.
+    the shared folder: the source is read once, whatever follows. Files of bounded size
+    spread what follows over all tasks, even if the source is one large row group.
     """
     present = [m for m in METRICS if m in readings.columns]
     if not present:
         raise ValueError(f"none of the columns {METRICS} is there")
     rows = within_physics(time_features(drop_empty(coerce_metrics(readings), present)))
     columns = feature_columns(rows)
-    rows = written(rows.select(*keep, *columns), "features")
+    rows = written(rows.select(*keep, *columns), "features", rows_per_file)
     holes = rows.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
     missing = [c for c in columns if holes[c]]
     return rows.fillna(medians(rows, missing, rows_per_slice)) if missing else rows

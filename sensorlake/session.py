@@ -46,12 +46,14 @@ def scratch_path(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df, name="table"):
+def written(df, name="table", rows_per_file=None):
     """The frame as a Parquet table in the shared folder.
 
     Work that is read more than once is done once, the lineage ends there, and the
-    rows outlive a lost executor.
+    rows outlive a lost executor. A file is read by one task, mostly; where reading it is
+    followed by long work per row, ``rows_per_file`` bounds it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write = df.write if rows_per_file is None else df.write.option("maxRecordsPerFile", rows_per_file)
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -100,6 +100,30 @@ def test_scaling(spark):
     assert features.scaled(df, scale).collect()[0] == (-1.0, 0.0)
 
 
+def test_features_of_one_row_group_come_in_bounded_files(spark, tmp_path):
+    """The features of a table in one row group, with nulls and equal rows, are in files
+    of bounded size, which scoring reads in as many tasks as it likes."""
+    times = "timestamp_seconds(1700000000 + id * 977)"
+    rows = spark.range(2000, numPartitions=1).selectExpr(
+        "cast(id % 9 as int) as mote_id", f"{times} as timestamp", "id % 40 + 0.5D as temperature",
+        "if(id % 7 = 0, null, id % 90 + 0D) as humidity", "id % 800 + 0D as light",
+        "2.5D as voltage", "'a' as other",
+    )
+    equal = rows.limit(1).crossJoin(spark.range(500)).drop("id")
+    rows.union(equal).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert len(one.inputFiles()) == 1
+    got = features.prepare_features(one, ("mote_id", "timestamp"), rows_per_file=100)
+    files = got.select("*", "_metadata.file_name").groupBy("file_name").count().collect()
+    assert max(f["count"] for f in files) <= 100
+    kept = ["mote_id", "timestamp", "temperature", "light", "voltage"]
+    as_rows = lambda df: sorted(map(tuple, df.select(kept).collect()))
+    assert as_rows(got) == as_rows(one)
+    median = np.median([r[0] for r in one.select("humidity").dropna().collect()])
+    filled = one.select(F.coalesce("humidity", F.lit(float(median)))).collect()
+    assert sorted(r["humidity"] for r in got.collect()) == sorted(r[0] for r in filled)
+
+
 def test_forest_is_independent_of_partitioning(spark):
     df = training(spark)
     one = forest.fit(df, key=["row"], n_trees=20)
