@@ -2,6 +2,7 @@
 
 from datetime import datetime
 from itertools import product
+from time import process_time
 
 import numpy as np
 import pytest
@@ -182,6 +183,80 @@ def test_path_lengths_against_a_plain_walk(spark):
         assert length == pytest.approx(total / 5)
 
 
+def grown(n_trees, sample, limit, seed=0):
+    """Trees over random rows as nodes, with the rows' distribution for more points."""
+    rng, nodes = np.random.default_rng(seed), []
+    for tree in range(n_trees):
+        rows = forest._grow(rng.normal(size=(sample, 6)).round(2), rng, limit)
+        names = ("feature", "threshold", "left", "right", "size", "depth")
+        nodes += [{"tree": tree, "node": i, **dict(zip(names, r))} for i, r in enumerate(rows)]
+    return nodes
+
+
+def level_by_level(nodes, columns):
+    """All points down every tree, a level at a time; sums from the first tree on."""
+    total, points, n_trees = np.zeros(len(columns[0])), np.stack(columns), 0
+    trees = {}
+    for n in nodes:
+        trees.setdefault(n["tree"], []).append(n)
+    for rows in trees.values():
+        feature, threshold, left = (
+            np.array([n[c] for n in rows]) for c in ("feature", "threshold", "left")
+        )
+        path = np.array([n["depth"] for n in rows]) + forest.mean_path([n["size"] for n in rows])
+        inner = feature >= 0
+        left = np.where(inner, left, np.arange(len(rows)))
+        feature, threshold = np.where(inner, feature, 0), np.where(inner, threshold, np.inf)
+        at = np.zeros(points.shape[1], np.intp)
+        for _ in range(max(n["depth"] for n in rows)):
+            at = left[at] + (points[feature[at], np.arange(len(at))] > threshold[at])
+        total += path[at]
+        n_trees += 1
+    return total / n_trees
+
+
+@pytest.mark.parametrize(
+    "n_trees, sample, limit", [(3, 1, 8), (1, 2, 1), (9, 40, 6), (30, 256, 8), (5, 700, 10), (2, 3000, 30)]
+)
+def test_path_lengths_of_odd_values(n_trees, sample, limit):
+    """Values at a threshold, infinite or not numbers; trees of many leaves."""
+    nodes = grown(n_trees, sample, limit)
+    points = np.random.default_rng(1).normal(size=(6, 1000)).round(1)
+    cuts = [n["threshold"] for n in nodes if n["feature"] >= 0] or [0.0]
+    points[:, :400] = np.random.default_rng(2).choice(cuts, (6, 400))
+    points[:, 400:406][np.diag_indices(6)] = np.nan
+    points[:, 406:409] = np.array([np.inf, -np.inf, -0.0])
+    packed, depth = forest._packed(nodes)
+    got = forest._path_lengths(packed, depth, list(points))
+    assert got.tolist() == level_by_level(nodes, list(points)).tolist()
+    assert forest._path_lengths(packed, depth, [c[:0] for c in points]).tolist() == []
+    assert forest._path_lengths(packed, depth, [c[:1] for c in points]).tolist() == got[:1].tolist()
+
+
+def test_sets_of_leaves_stay_small():
+    """The bits of few large trees do not grow with the square of all their leaves."""
+    packed, _ = forest._packed(grown(6, 3000, 30))
+    groups = forest._leaf_sets(packed)
+    assert len(groups) > 1
+    assert max(sum(left.nbytes for _, _, left in sets) for _, _, sets in groups) < 2 << 20
+
+
+def test_scoring_takes_less_than_a_walk():
+    nodes, points = grown(100, 256, 8), list(np.random.default_rng(1).normal(size=(6, 10_000)))
+    packed, depth = forest._packed(nodes)
+    groups = forest._leaf_sets(packed)
+    spent = {}
+    for name, run in (
+        ("walk", lambda: level_by_level(nodes, points)),
+        ("sets", lambda: forest._path_lengths(packed, depth, points, groups)),
+    ):
+        for _ in range(5):
+            start = process_time()
+            run()
+            spent[name] = min(spent.get(name, np.inf), process_time() - start)
+    assert spent["sets"] < 0.6 * spent["walk"]
+
+
 def test_decisions_against_a_plain_walk(spark):
     """What a trained forest decides about each row, worked out node by node."""
     df = training(spark, 500)
