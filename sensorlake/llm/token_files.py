@@ -38,9 +38,11 @@ SEGMENT = 1 << 18
 END_ID = 1
 #: Bits of a bitmap per entry of its rank directory.
 RANK_BLOCK = 512
-#: Bytes of a generation of known chunks per process (of words half as much), what an entry
+#: Bytes of a generation of known chunks per task (of words half as much), what an entry
 #: takes besides its key and value, and the longest key that outlives a generation.
-MEMORY_BYTES, ENTRY_BYTES, LONGEST_KEY = 96 << 20, 200, 256
+MEMORY_BYTES, ENTRY_BYTES, LONGEST_KEY = 48 << 20, 200, 256
+#: Rows, characters and new chunks at a time: more take memory that the process then keeps.
+ROWS_AT_ONCE, LETTERS_AT_ONCE, NEW_AT_ONCE = 500, 1 << 18, 2000
 _MAGIC = b"DACTOK01"
 
 
@@ -97,7 +99,7 @@ class _Encoder:
             self.last[token] = piece.endswith("</w>")
         # letters of one code point, that no normal form joins or takes apart
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)\Z").match
-        self.known, self.words = _Memory(MEMORY_BYTES), _Memory(MEMORY_BYTES // 2)
+        self.forget()
         self.word_tokenizer = self._for_words(path, vocabulary)
 
     def _for_words(self, path, vocabulary):
@@ -118,18 +120,24 @@ class _Encoder:
         words = [p for p in pieces if p and self.simple(p)]
         words += [a + letters[i] + b for i in range(len(letters)) for a, b in zip(words, words[1:40])]
         sample = [" ".join(words)]
-        same = self._ids(sample)[0].tolist() == self._ids(sample, light)[0].tolist()
-        return light if same else self.tokenizer
+        plain, fast = next(self._ids(sample)), next(self._ids(sample, light))
+        return light if plain.tolist() == fast.tolist() else self.tokenizer
+
+    def forget(self):
+        """Starts anew: a process that waits, or reads shards, holds no chunks."""
+        self.known, self.words = _Memory(MEMORY_BYTES), _Memory(MEMORY_BYTES // 2)
 
     def _ids(self, texts, tokenizer=None):
-        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.int32) for x in found]
+        encode = (tokenizer or self.tokenizer).encode_batch_fast
+        for i in range(0, len(texts), NEW_AT_ONCE):
+            for x in encode(texts[i : i + NEW_AT_ONCE], add_special_tokens=False):
+                yield np.array(x.ids, np.int32)
 
     def _learn_words(self, words):
         words, found = list(self.words.missing(words)), {}
-        texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        for i, ids in enumerate(self._ids(texts, self.word_tokenizer)):
-            some = words[500 * i : 500 * i + 500]
+        for i in range(0, len(words), 500):
+            some = words[i : i + 500]
+            (ids,) = self._ids([" ".join(some)], self.word_tokenizer)
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(ends) != len(some):  # not the kind of tokenizer that marks ends
                 found.update((w, x.tobytes()) for w, x in zip(some, self._ids(some)))
@@ -138,6 +146,17 @@ class _Encoder:
             found.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
         self.words.learn(found)
 
+    def each(self, texts):
+        """The bytes of the 32-bit ids of each text, with few texts held at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= LETTERS_AT_ONCE:
+                yield from self(some)
+                some, size = [], 0
+        yield from self(some)
+
     def __call__(self, texts):
         """The bytes of the 32-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -363,6 +382,14 @@ class Shard:
             yield doc, int(start), int(end - start), crc
 
 
+def _texts(column):
+    """The texts of a column one by one, null as empty, never with a copy of them all."""
+    for start in range(0, len(column), ROWS_AT_ONCE):
+        for _, offsets, data in text_slices(column.slice(start, ROWS_AT_ONCE)):
+            for lo, hi in zip(offsets, offsets[1:]):
+                yield data[lo:hi].tobytes().decode()
+
+
 def write(docs, path, folder=None, end_id=END_ID):
     """Writes shards; a table of (shard, path, documents, ids), shards in order."""
     folder = folder or new_folder(docs.sparkSession, "tokens")
@@ -376,14 +403,10 @@ def write(docs, path, folder=None, end_id=END_ID):
         with new_file(folder, ".dac") as (uri, out):
             writer = Writer(out)
             while head is not None:
-                doc_ids = head["doc_id"].to_pylist()
-                for row, offsets, data in text_slices(head["text"]):
-                    texts = [
-                        data[lo:hi].tobytes().decode() for lo, hi in zip(offsets, offsets[1:])
-                    ]
-                    for i, ids in enumerate(encode(texts)):
-                        writer.add_bytes(doc_ids[row + i], ids + end)
+                for doc_id, ids in zip(head["doc_id"].to_pylist(), encode.each(_texts(head["text"]))):
+                    writer.add_bytes(doc_id, ids + end)
                 head = next(batches, None)
+            encode.forget()
             writer.close()
         yield pa.RecordBatch.from_pydict(
             {

@@ -131,3 +131,41 @@ def test_memory_is_bounded_by_bytes(monkeypatch):
             held = sum(len(k) + len(v) for k, v in memory.older.items())
             assert held <= 20_000 and memory.size <= 20_000
             assert all(len(k) <= token_files.LONGEST_KEY for k in memory.older)
+
+
+def test_little_is_held_at_a_time(monkeypatch):
+    """Texts are taken as they are needed, and few new chunks go to the tokenizer at once."""
+    monkeypatch.setattr(token_files, "LETTERS_AT_ONCE", 1000)
+    monkeypatch.setattr(token_files, "NEW_AT_ONCE", 7)
+    encode, taken, batches = token_files._Encoder(PATH), [], []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            batches.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    encode.tokenizer = Counting(encode.tokenizer)
+    texts = [" ".join(f"{i}x{j}" for j in range(20)) for i in range(200)]
+    found = encode.each(taken.append(t) or t for t in texts)
+    first = next(found)
+    assert len(taken) < 30
+    assert [first, *found] == token_files._Encoder(PATH)(texts)
+    assert max(batches) <= 7 and sum(batches) == 4000
+
+
+def test_processes_hold_no_chunks_after_a_shard(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert token_files.read(token_files.write(docs, PATH)).count() == 400
+
+    def held(batches):
+        for batch in batches:
+            encode = token_files._encoder(PATH)
+            batch["n"] = len(encode.known) + len(encode.known.older) + len(encode.words)
+            yield batch
+
+    found = spark.range(32, numPartitions=32).selectExpr("id AS n").mapInPandas(held, "n long")
+    assert found.agg({"n": "max"}).first()[0] == 2  # the empty chunk and the empty word
