@@ -42,7 +42,7 @@ RANK_BLOCK = 512
 #: takes besides its key and value, and the longest key that outlives a generation.
 MEMORY_BYTES, ENTRY_BYTES, LONGEST_KEY = 48 << 20, 200, 256
 #: Rows, characters and new chunks at a time: more take memory that the process then keeps.
-ROWS_AT_ONCE, LETTERS_AT_ONCE, NEW_AT_ONCE = 500, 1 << 18, 2000
+ROWS_AT_ONCE, LETTERS_AT_ONCE, NEW_AT_ONCE = 500, 1 << 20, 2000
 _MAGIC = b"DACTOK01"
 
 
